@@ -23,16 +23,13 @@ FOREST = {"numTrees": 10, "maxDepth": 5, "maxBins": 32}
 _KEYS = ", ".join(LINE_KEY)
 
 
-def _class_rows(spark, folder):
-    return lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_extendedprice", "l_returnflag")
-
-
-def _amount_rows(spark, folder):
-    return lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_returnflag", "l_extendedprice")
+def _line_rows(spark, folder):
+    rows = lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_returnflag", "l_extendedprice")
+    return models.spread(rows, LINE_KEY)
 
 
 def _predictions(spark, folder, label, algorithm, params=None):
-    df = (_amount_rows if algorithm in models.REGRESSORS else _class_rows)(spark, folder)
+    df = _line_rows(spark, folder)
     flow = flows.train(df, label, LINE_KEY, algorithm, params)
     return df, flow, flows.predict(df, flow)
 
@@ -83,7 +80,7 @@ _Y = ["y_flag", "y_status", "y_price"]
 
 
 def _multi(spark, folder):
-    df = _outputs(spark, folder)
+    df = models.spread(_outputs(spark, folder), LINE_KEY)
     fit_on, held_out = flows.split_rows(df, LINE_KEY, 0.8)
     features = models.fit_features(fit_on, (*LINE_KEY, *_Y))
     fitted = models.fit_multioutput(features.transform(fit_on), _Y, params={"numTrees": 5, "maxDepth": 5})
@@ -211,10 +208,9 @@ def model_roundtrip(spark, folder):
     """A saved and reloaded flow predicts what the fitted one predicts, row by row."""
     df, flow, _ = _predictions(spark, folder, "l_returnflag", "DTC")
     features, model = flows.load_parts(flows.save_flow(flow, scratch_path(spark, "flow")), DecisionTreeClassificationModel)
-    vectors = flow.features.transform(df).select(*LINE_KEY, "Scaled_features")
-    fresh = flow.model.transform(vectors).select(*LINE_KEY, F.col("prediction").alias("fresh"))
-    reloaded = model.transform(features.transform(df)).select(*LINE_KEY, F.col("prediction").alias("reloaded"))
-    return fresh.join(reloaded, LINE_KEY).select(*LINE_KEY, (F.col("fresh") == F.col("reloaded")).alias("same"))
+    fresh = flow.model.transform(flow.features.transform(df)).select(*df.columns, F.col("prediction").alias("fresh"))
+    both = model.transform(features.transform(fresh))
+    return both.select(*LINE_KEY, (F.col("prediction") == F.col("fresh")).alias("same"))
 
 
 @query("score_with_key", f"select {_KEYS}, true as scored from lineitem")
@@ -237,8 +233,7 @@ def _with_gaps(df):
 
 def _scored(spark, folder, label, algorithm, params):
     """Impute, drop the constant column, train, then score all rows with the stored parts."""
-    base = (_amount_rows if algorithm in models.REGRESSORS else _class_rows)(spark, folder)
-    df = _with_gaps(base)
+    df = _with_gaps(_line_rows(spark, folder))
     imputer = clean.fit_imputer_both(df, "median", leave_out=(label, *LINE_KEY))
     dropped = ("source", label)
     flow = flows.train(clean.apply_imputer(df, imputer).drop("source"), label, LINE_KEY, algorithm, params)
@@ -266,7 +261,7 @@ def score_multioutput(spark, folder):
 @query("train_single_output")
 def train_single_output(spark, folder):
     """Quality on the training split, one row per metric."""
-    df = _class_rows(spark, folder)
+    df = _line_rows(spark, folder)
     flow = flows.train(df, "l_returnflag", LINE_KEY, "RFC", FOREST)
     fit_on, _ = flows.split_rows(df, LINE_KEY, flow.fraction)
     return metrics.classification_metrics(flows.predict(fit_on, flow), "_label", "prediction")

@@ -39,6 +39,16 @@ def estimator(algorithm: str, label: str, features: str, params: dict | None = N
     return made
 
 
+def spread(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows over all cores when the source arrives in fewer pieces, untouched otherwise.
+
+    Training passes over the rows many times, so one or two large input splits
+    would leave the other cores idle each time.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
+
+
 def fit_features(df: DataFrame, leave_out: tuple[str, ...], invalid: str = "keep") -> PipelineModel:
     """Index, one-hot, assemble and scale every text and number column not left out."""
     split = split_by_type(df, leave_out)

@@ -49,17 +49,33 @@ def exact_quantiles(df: DataFrame, columns: list[str], points: list[float], accu
     """
     kinds = dict(df.dtypes)
     data = df.select(*[missing_as_null(c, kinds[c]).alias(c) for c in columns])
-    sizes = data.agg(*[F.count(c).alias(c) for c in columns]).first()
-    searches = [
-        _Search(c, max(math.ceil(p * sizes[c]), 1), inside=sizes[c]) for c in columns for p in points if sizes[c]
-    ]
+    near = sorted({e for p in points for e in _around(p, accuracy)})
+    first = data.agg(
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.percentile_approx(c, near, accuracy).alias(f"g_{c}") for c in columns],
+    ).first()
+    sizes = {c: first[f"n_{c}"] for c in columns}
+    searches, brackets = [], []
+    for c in columns:
+        for p in points if sizes[c] else []:
+            searches.append(_Search(c, _rank(p, sizes[c]), inside=sizes[c]))
+            guess = dict(zip(near, first[f"g_{c}"]))
+            brackets.append(tuple(guess[e] for e in _around(p, accuracy)))
+    if searches:
+        _narrow(data, searches, brackets)
     while pending := [s for s in searches if s.answer is None and s.inside > SORT_AT_MOST]:
-        _narrow(data, pending, accuracy)
+        _narrow(data, pending, _guess(data, pending, accuracy))
     _sort_small(data, [s for s in searches if s.answer is None])
     found = {(s.column, s.rank): s.answer for s in searches}
-    return {
-        c: [found[(c, max(math.ceil(p * sizes[c]), 1))] if sizes[c] else None for p in points] for c in columns
-    }
+    return {c: [found.get((c, _rank(p, sizes[c]))) for p in points] for c in columns}
+
+
+def _rank(point: float, n: int) -> int:
+    return max(math.ceil(point * n), 1)
+
+
+def _around(share: float, accuracy: int) -> tuple[float, float]:
+    return max(share - 2 / accuracy, 0.0), min(share + 2 / accuracy, 1.0)
 
 
 def approx_quantiles(df: DataFrame, columns: list[str], points: list[float], accuracy: int = ACCURACY) -> dict[str, list]:
@@ -69,22 +85,28 @@ def approx_quantiles(df: DataFrame, columns: list[str], points: list[float], acc
     return {c: row[c] for c in columns}
 
 
-def _narrow(data: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    guesses = []
-    for i, s in enumerate(searches):
-        share = (s.rank - s.below) / s.inside
-        ends = [max(share - 2 / accuracy, 0.0), min(share + 2 / accuracy, 1.0)]
-        guesses.append(F.percentile_approx(F.when(s.open_range(), F.col(s.column)), ends, accuracy).alias(f"g{i}"))
-    guess = data.agg(*guesses).first()
+def _guess(data: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple]:
+    """A bracket for each search from a sketch of the values still possible."""
+    row = data.agg(
+        *[
+            F.percentile_approx(
+                F.when(s.open_range(), F.col(s.column)), list(_around((s.rank - s.below) / s.inside, accuracy)), accuracy
+            ).alias(f"g{i}")
+            for i, s in enumerate(searches)
+        ]
+    ).first()
+    return [tuple(row[f"g{i}"]) for i in range(len(searches))]
+
+
+def _narrow(data: DataFrame, searches: list[_Search], brackets: list[tuple]) -> None:
+    """Count the values around each bracket; that either answers a search or shrinks it."""
     tests = []
-    for i, s in enumerate(searches):
+    for i, (s, (low, high)) in enumerate(zip(searches, brackets)):
         col = F.col(s.column)
-        low, high = guess[f"g{i}"]
         for name, test in (("lt_lo", col < low), ("le_lo", col <= low), ("lt_hi", col < high), ("le_hi", col <= high)):
             tests.append(F.count_if(test).alias(f"{name}{i}"))
     count = data.agg(*tests).first()
-    for i, s in enumerate(searches):
-        low, high = guess[f"g{i}"]
+    for i, (s, (low, high)) in enumerate(zip(searches, brackets)):
         lt_lo, le_lo, lt_hi, le_hi = (count[f"{n}{i}"] for n in ("lt_lo", "le_lo", "lt_hi", "le_hi"))
         if s.rank <= lt_lo:
             s.high, s.inside = low, lt_lo - s.below

@@ -14,26 +14,27 @@ from prepflow.operators.ranking import number_rows
 
 HASH_RANGE = 2**32
 ROWS_PER_CELL = 50_000
+MAX_CELL_BITS = 16
 DRAWS_PER_COPY = 65_536
 
 
 def number_in_class(df: DataFrame, label: str, key: str, seed: int, total: int) -> DataFrame:
     """Add ``position``: 0-based place of each row in its class, ordered by the hash of its key.
 
-    The hash range is cut into cells of about ``ROWS_PER_CELL`` rows. Rows are
-    numbered inside a cell and shifted by the sizes of the cells before, so a
-    class of any size is spread over many tasks. The numbers are the same for
-    any number of cells. ``key`` must be unique.
+    The hash range is cut into cells of about ``ROWS_PER_CELL`` rows, up to 65,536
+    of them. Rows are numbered inside a cell and shifted by the sizes of the cells
+    before, so a class of any size is spread over many tasks. The numbers are the
+    same for any number of cells. ``key`` must be unique.
     """
-    cells = 1 << max(math.ceil(math.log2(max(total / ROWS_PER_CELL, 1))), 0)
-    hashed = df.withColumn("_h", stable_hash(F.lit(seed), F.col(key)))
-    hashed = hashed.withColumn("_cell", F.shiftright("_h", 32 - int(math.log2(cells))))
+    bits = min(math.ceil(math.log2(max(total / ROWS_PER_CELL, 1))), MAX_CELL_BITS)
+    h = stable_hash(F.lit(seed), F.col(key))
+    hashed = df.withColumn("_h", h).withColumn("_cell", F.shiftright("_h", 32 - bits))
     inside = F.row_number().over(Window.partitionBy(label, "_cell").orderBy("_h", key)) - 1
     numbered = hashed.withColumn("position", inside.cast("bigint"))
-    if cells > 1:
+    if bits:
         before = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
         sizes = (
-            df.select(label, F.shiftright(stable_hash(F.lit(seed), F.col(key)), 32 - int(math.log2(cells))).alias("_cell"))
+            df.select(label, F.shiftright(h, 32 - bits).alias("_cell"))
             .groupBy(label, "_cell")
             .agg(F.count(F.lit(1)).alias("_n"))
             .select(label, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
@@ -61,12 +62,17 @@ def resample(df: DataFrame, label: str, key: str, mode: str, seed: int = 12345)
         return df.withColumn("draw", F.lit(None).cast("bigint"))
     size = {"down": facts.min, "up": facts.max}[mode]
 
-    copies = F.greatest(F.ceil(F.lit(size) / (F.col("count") * DRAWS_PER_COPY)), F.lit(1)).cast("bigint")
+    per_copy = F.col("count") * DRAWS_PER_COPY
+    copies = F.greatest(F.ceil(F.lit(size) / per_copy), F.lit(1)).cast("bigint")
     classes = classes.select(label, F.col("count").alias("_class_size"), "class_no", copies.alias("_copies"))
 
     rows = number_in_class(known, label, key, seed, facts.n)
-    rows = lookup_join(rows, classes.select(label, "_copies"), label)
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1))).drop("_copies")
+    if size <= facts.min * DRAWS_PER_COPY:  # no class needs more than one copy
+        rows = rows.withColumn("_copy", F.lit(0).cast("bigint"))
+    else:
+        rows = lookup_join(rows, classes.select(label, "_copies"), label)
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)
+        rows = rows.withColumn("_copy", F.explode(numbers)).drop("_copies")
 
     wanted = size * facts.k
     spark = df.sparkSession
@@ -117,16 +123,24 @@ def split_exact(df: DataFrame, key: str, test_fraction: float, seed: int = 12345
     """
     h = stable_hash(F.lit(seed), F.col(key))
     cell = F.shiftright(h, 16)
-    counts = df.select(cell.alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
-    quota = math.ceil(round(sum(r.n for r in counts) * test_fraction, 6))
-    edge = None
-    for r in counts:
-        if quota <= r.n:
-            edge = r.cell
-            break
-        quota -= r.n
-    if edge is None or quota <= 0:
-        return df.withColumn("in_test", F.lit(edge is None and bool(counts)))
+    counts = df.select(cell.alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    running = counts.select(
+        "cell",
+        "n",
+        F.sum("n").over(Window.orderBy("cell")).alias("upto"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
+    )
+    quota = F.ceil(F.round(F.col("total") * F.lit(test_fraction), 6))
+    edge = (
+        running.withColumn("quota", quota)
+        .where(F.col("upto") >= F.col("quota"))
+        .agg(F.min(F.struct("cell", (F.col("quota") - F.col("upto") + F.col("n")).alias("take"))).alias("e"))
+        .first()
+        .e
+    )
+    if edge is None or edge.take <= 0:
+        return df.withColumn("in_test", F.lit(False))
     place = F.struct(h.alias("h"), F.col(key).alias("k"))
-    last = df.where(cell == edge).select(place.alias("p")).orderBy("p").limit(quota).agg(F.max("p").alias("p")).first().p
+    first = df.where(cell == edge.cell).select(place.alias("p")).orderBy("p").limit(edge.take)
+    last = first.agg(F.max("p").alias("p")).first().p
     return df.withColumn("in_test", place <= F.struct(F.lit(last.h).alias("h"), F.lit(last.k).alias("k")))

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from prepflow.functions.scalars import max_abs_percent
 from prepflow.operators.clean import FittedImputer, apply_imputer
@@ -48,17 +49,20 @@ def split_rows(df: DataFrame, key: list[str], fraction: float) -> tuple[DataFram
 def train(
     df: DataFrame, label: str, key: list[str], algorithm: str, params: dict | None = None, fraction: float = 0.8
 ) -> Flow:
-    """Fit everything on the training split only.
+    """Fit everything on the training split only, which is kept in memory or on
+    executor disks meanwhile. ``models.spread`` helps when ``df`` has few partitions.
 
     A text label is indexed by frequency; ``classes`` holds its values in index order.
     """
-    fit_on, _ = split_rows(df, key, fraction)
-    classes = None
-    if dict(df.dtypes)[label] == "string":
-        classes = StringIndexer(inputCol=label, outputCol="_i").fit(fit_on).labels
-    features = fit_features(fit_on, (label, *key))
-    flow = Flow(features, None, algorithm, label, key, fraction, classes)
-    flow.model = fit_model(_prepare(fit_on, flow), "_label", algorithm, params, _class_count(fit_on, flow))
+    fit_on = split_rows(df, key, fraction)[0].persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        classes = None
+        if dict(df.dtypes)[label] == "string":
+            classes = StringIndexer(inputCol=label, outputCol="_i").fit(fit_on).labels
+        flow = Flow(fit_features(fit_on, (label, *key)), None, algorithm, label, key, fraction, classes)
+        flow.model = fit_model(_prepare(fit_on, flow), "_label", algorithm, params, _class_count(fit_on, flow))
+    finally:
+        fit_on.unpersist()
     return flow
 
 

@@ -12,6 +12,7 @@ from prepflow.operators.columns import cast_columns, fill_constant
 from prepflow.operators.encode import apply_codes, fit_labels
 from prepflow.operators.joins import join_inner, join_keep_larger
 from prepflow.operators.reshape import all_values, latest_period_labels, pivot_mean, pivot_periods
+from prepflow.sources.scratch import settle
 
 
 @dataclass(frozen=True)
@@ -35,11 +36,12 @@ def monthly_transpose(
 
     ``M1`` is each table's own latest month. The merged table keeps every key of
     whichever table has more keys; the other one's columns are null where it has
-    no such key.
+    no such key. Both wide tables are written out before they are counted and
+    joined, so each history is pivoted once.
     """
-    running_wide = pivot_periods(running, key, period, [running_measure], running_months, name="{period}")
+    running_wide = settle(pivot_periods(running, key, period, [running_measure], running_months, name="{period}"), "running")
     loan_wide = pivot_periods(loans, key, period, loan_measures, loan_months, name="{period}-{measure}")
-    loan_wide = cast_columns(loan_wide, {key: "bigint"})
+    loan_wide = settle(cast_columns(loan_wide, {key: "bigint"}), "loans")
     labels = latest_period_labels(running, period, running_months).select(F.col("label").alias("Month_label"))
     return MonthlyTables(join_keep_larger(running_wide, loan_wide, key), running_wide, labels)
 
@@ -78,7 +80,7 @@ def multi_output_transpose(
     for c in text_labels:
         codes[c] = fit_labels(filled, c)
         coded = apply_codes(coded, codes[c], c, f"_{c}_code").drop(c).withColumnRenamed(f"_{c}_code", c)
-    periods = [p for (p,) in all_values(coded, period)]
+    periods = [p for (p,) in all_values(filled, period)]
     wide = pivot_mean(coded, [key], period, periods, measures, lambda p, m: f"{p}_{m}", 0.0, gaps_of_absent=True)
 
     out_periods = [p for (p,) in all_values(outputs, output_period)][:n_outputs]
