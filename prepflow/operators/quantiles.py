@@ -31,6 +31,7 @@ class _Search:
     below: int = 0  # values <= low
     inside: int = 0  # values strictly between
     answer: float | None = None
+    stuck: bool = False  # a round did not help: integers too large for the sketch's doubles
 
     def open_range(self):
         col = F.col(self.column)
@@ -45,8 +46,11 @@ class _Search:
 def exact_quantiles(df: DataFrame, columns: list[str], points: list[float], accuracy: int = ACCURACY) -> dict[str, list]:
     """For each column the smallest value whose rank reaches ``ceil(point * n)``.
 
-    Nulls and NaN are ignored. A column without values gives ``None``.
+    Nulls and NaN are ignored. A column without values gives ``None``. Each round
+    leaves about 4 / accuracy of the values in question, hence the lower limit.
     """
+    if accuracy < 16:
+        raise ValueError("accuracy must be at least 16 for the brackets to shrink")
     kinds = dict(df.dtypes)
     data = df.select(*[missing_as_null(c, kinds[c]).alias(c) for c in columns])
     near = sorted({e for p in points for e in _around(p, accuracy)})
@@ -63,8 +67,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], points: list[float], accu
             brackets.append(tuple(guess[e] for e in _around(p, accuracy)))
     if searches:
         _narrow(data, searches, brackets)
-    while pending := [s for s in searches if s.answer is None and s.inside > SORT_AT_MOST]:
+    while pending := [s for s in searches if s.answer is None and s.inside > SORT_AT_MOST and not s.stuck]:
+        before = [s.inside for s in pending]
         _narrow(data, pending, _guess(data, pending, accuracy))
+        for s, inside in zip(pending, before):
+            s.stuck = s.answer is None and s.inside >= inside
     _sort_small(data, [s for s in searches if s.answer is None])
     found = {(s.column, s.rank): s.answer for s in searches}
     return {c: [found.get((c, _rank(p, sizes[c]))) for p in points] for c in columns}
@@ -121,23 +128,24 @@ def _narrow(data: DataFrame, searches: list[_Search], brackets: list[tuple]) ->
 
 
 def _sort_small(data: DataFrame, searches: list[_Search]) -> None:
-    """Settle ranks whose open range holds at most ``SORT_AT_MOST`` values."""
+    """Settle the ranks whose open range holds few values, by sorting those."""
     if not searches:
         return
-    cells = [
-        F.struct(F.lit(i).alias("search"), F.when(s.open_range(), F.col(s.column)).cast("double").alias("value"))
-        for i, s in enumerate(searches)
-    ]
+    whole = {c for c, t in data.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
+    cells = []
+    for i, s in enumerate(searches):
+        value = F.when(s.open_range(), F.col(s.column))
+        as_whole = value.cast("bigint") if s.column in whole else F.lit(None).cast("bigint")
+        cells.append(F.struct(F.lit(i).alias("search"), as_whole.alias("whole"), value.cast("double").alias("value")))
     counts = (
         data.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
-        .groupBy("search", "value")
+        .groupBy("search", "whole", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = F.sum("n").over(Window.partitionBy("search").orderBy("value"))
-    wanted = F.element_at(F.create_map(*[x for i, s in enumerate(searches) for x in (F.lit(i), F.lit(s.rank - s.below))]), F.col("search"))
-    picks = counts.withColumn("upto", running).where(F.col("upto") >= wanted).groupBy("search").agg(F.min("value").alias("value"))
-    kinds = dict(data.dtypes)
-    for row in picks.collect():
+    running = F.sum("n").over(Window.partitionBy("search").orderBy("whole", "value"))
+    wanted = F.create_map(*[x for i, s in enumerate(searches) for x in (F.lit(i), F.lit(s.rank - s.below))])
+    reached = counts.withColumn("upto", running).where(F.col("upto") >= wanted[F.col("search")])
+    for row in reached.groupBy("search").agg(F.min(F.struct("whole", "value")).alias("v")).collect():
         s = searches[row["search"]]
-        s.answer = int(row["value"]) if kinds[s.column] in ("tinyint", "smallint", "int", "bigint") else row["value"]
+        s.answer = row.v.whole if s.column in whole else row.v.value
