@@ -20,6 +20,8 @@ from prepflow.catalog.relational import (
 )
 from prepflow.operators import clean, columns, encode, outliers, reshape, sampling, scale, select
 from prepflow.plans.transpose import monthly_transpose, multi_output_transpose
+from prepflow.sources.files import read_parquet
+from prepflow.sources.scratch import scratch_path
 
 # ---- monthly transpose -------------------------------------------------------
 
@@ -79,6 +81,30 @@ def monthly_transpose_query(spark, folder):
     return rounded(_monthly(spark, folder).merged, ["o_custkey"])
 
 
+_FLAGS = ["A", "N", "R"]
+_FLAGGED = "lt as (select o.o_custkey, strftime(l.l_shipdate, '%Y-%m') as ym, l.l_returnflag, l.l_quantity from lineitem l join orders o on l.l_orderkey = o.o_orderkey)"
+
+
+@query(
+    "monthly_transpose_two_keys",
+    f"with {_FLAGGED}, lm as (select ym, row_number() over (order by ym desc) as rk from (select distinct ym from lt)) select o_custkey, "
+    + ", ".join(
+        f"""{round_sql(f"coalesce(avg(l_quantity) filter (where rk = {i} and l_returnflag = '{f}'), 0.0)")} as "M{i}-{f}-l_quantity\""""
+        for i in range(1, LOAN_MONTHS + 1)
+        for f in _FLAGS
+    )
+    + f" from lt join lm using (ym) where rk <= {LOAN_MONTHS} group by o_custkey",
+)
+def monthly_transpose_two_keys(spark, folder):
+    """Columns for each pair of month and return flag."""
+    owner = orders(spark, folder).select("o_orderkey", "o_custkey")
+    lines = lineitem(spark, folder).select(
+        F.col("l_orderkey").alias("o_orderkey"), F.date_format("l_shipdate", "yyyy-MM").alias("ym"), "l_returnflag", "l_quantity"
+    )
+    recent = reshape.keep_recent(lines.join(owner, "o_orderkey"), "ym", LOAN_MONTHS)
+    return rounded(reshape.pivot_two_keys(recent, ["o_custkey"], "ym", "l_returnflag", ["l_quantity"]), ["o_custkey"])
+
+
 @query(
     "month_labels",
     "select 'M' || row_number() over (order by ym desc)::varchar as \"Month_label\" from "
@@ -267,8 +293,6 @@ def impute_both(spark, folder):
 )
 def impute_apply(spark, folder):
     """Fitted on finished orders, stored, loaded, and applied to all orders."""
-    from prepflow.sources.scratch import scratch_path
-
     df = orders_with_gaps(spark, folder).select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     fitted = clean.fit_imputer_both(df.where("o_orderstatus = 'F'"), "median", leave_out=("o_orderkey", "o_orderstatus"))
     path = fitted.save(spark, scratch_path(spark, "imputer"))
@@ -416,8 +440,6 @@ def onehot_wide(spark, folder):
     "select p_partkey, p_brand, code from part join (select p_brand, row_number() over (order by p_brand) - 1 as code from (select distinct p_brand from part)) using (p_brand)",
 )
 def label_encode(spark, folder):
-    from prepflow.sources.files import read_parquet
-
     df = read_parquet(spark, folder, "part").select("p_partkey", "p_brand")
     return encode.apply_codes(df, encode.fit_labels(df, "p_brand"), "p_brand", "code")
 

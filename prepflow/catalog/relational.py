@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from prepflow.catalog.registry import query
 from prepflow.functions import scalars
-from prepflow.functions.lookups import exclude_rows, filter_rows, get_one
+from prepflow.functions.lookups import all_of, exclude_rows, filter_rows, get_one
 from prepflow.operators import aggregate, columns, joins, mutate, quantiles, reshape
 from prepflow.sources import audit, files, manifest, tables
 from prepflow.sources.scratch import scratch_path
@@ -389,8 +389,6 @@ for _name, (_lookups, _condition) in _FILTERS.items():
 
 @query("filter_or", f"select * from {EMP_GAPS} where eaddr like 'M%' or esal < 4000")
 def filter_or(spark, folder):
-    from prepflow.functions.lookups import all_of
-
     return employees_with_gaps(spark, folder).where(all_of(eaddr__startswith="M") | all_of(esal__lt=4000.0))
 
 
@@ -575,7 +573,7 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     + " from orders group by o_custkey",
 )
 def pivot_two_keys(spark, folder):
-    wide = reshape.pivot_two_keys(orders(spark, folder), ["o_custkey"], "o_orderstatus", "o_orderpriority", "o_totalprice")
+    wide = reshape.pivot_two_keys(orders(spark, folder), ["o_custkey"], "o_orderstatus", "o_orderpriority", ["o_totalprice"])
     return rounded(wide, ["o_custkey"])
 
 

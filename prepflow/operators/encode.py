@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepflow.operators.aggregate import value_counts
@@ -45,6 +45,17 @@ def fit_onehot(df: DataFrame, columns: list[str]) -> dict[str, list]:
     return {c: [v for (v,) in all_values(df, c)] for c in columns}
 
 
+def save_onehot(spark: SparkSession, categories: dict[str, list], path: str) -> str:
+    """Store the categories of text columns."""
+    frame = spark.createDataFrame(list(categories.items()), "column_name string, categories array<string>")
+    frame.coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_onehot(spark: SparkSession, path: str) -> dict[str, list]:
+    return {r.column_name: r.categories for r in spark.read.parquet(path).collect()}
+
+
 def apply_onehot(df: DataFrame, categories: dict[str, list], unknown: str = "ignore") -> DataFrame:
     """Replace each column by one 0/1 column per category, named ``column_category``.
 

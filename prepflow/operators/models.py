@@ -43,7 +43,8 @@ def spread(df: DataFrame, key: list[str]) -> DataFrame:
     """Rows over all cores when the source arrives in fewer pieces, untouched otherwise.
 
     Training passes over the rows many times, so one or two large input splits
-    would leave the other cores idle each time.
+    would leave the other cores idle each time. Meant for frames read from files;
+    a table of a cluster's size has more splits than cores and is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)

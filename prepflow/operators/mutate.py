@@ -32,5 +32,5 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 def cascade_delete(parent: DataFrame, child: DataFrame, parent_key: str, link: str, condition: Column) -> tuple[DataFrame, DataFrame]:
     """Delete parent rows and the child rows that point to them; both survivors."""
-    gone = parent.where(F.coalesce(condition, F.lit(False))).select(F.col(parent_key).alias(link)).distinct()
+    gone = parent.where(condition).select(F.col(parent_key).alias(link)).distinct()
     return delete_where(parent, condition), child.join(gone, link, "left_anti")

@@ -76,11 +76,13 @@ def pivot_mean(
     return wide.select(*index, *out)
 
 
-def pivot_two_keys(df: DataFrame, index: list[str], first: str, second: str, measure: str, fill: float | None = 0.0) -> DataFrame:
+def pivot_two_keys(
+    df: DataFrame, index: list[str], first: str, second: str, measures: list[str], fill: float | None = 0.0
+) -> DataFrame:
     """Pivot over the pairs of two columns; cells are named ``first-second-measure``."""
     pairs = ["-".join(map(str, p)) for p in all_values(df, first, second)]
     joined = df.withColumn("_pair", F.concat_ws("-", F.col(first).cast("string"), F.col(second).cast("string")))
-    return pivot_mean(joined, index, "_pair", pairs, [measure], lambda v, m: f"{v}-{m}", fill)
+    return pivot_mean(joined, index, "_pair", pairs, measures, lambda v, m: f"{v}-{m}", fill)
 
 
 def pivot_periods(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,17 @@ class FittedScaler:
     deviations: dict[str, float]
     center: bool
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        rows = [(c, self.means[c], d, self.center) for c, d in self.deviations.items()]
+        frame = spark.createDataFrame(rows, "column_name string, mean double, deviation double, center boolean")
+        frame.coalesce(1).write.mode("overwrite").parquet(path)
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> FittedScaler:
+        rows = spark.read.parquet(path).collect()
+        return FittedScaler({r.column_name: r["mean"] for r in rows}, {r.column_name: r.deviation for r in rows}, rows[0].center)
+
 
 def fit_scaler(df: DataFrame, columns: list[str], center: bool, ddof: int) -> FittedScaler:
     """Mean and deviation per column; ``ddof`` 1 is the sample, 0 the population form."""

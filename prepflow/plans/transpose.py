@@ -11,7 +11,14 @@ from prepflow.operators.aggregate import first_per_key
 from prepflow.operators.columns import cast_columns, fill_constant
 from prepflow.operators.encode import apply_codes, fit_labels
 from prepflow.operators.joins import join_inner, join_keep_larger
-from prepflow.operators.reshape import all_values, latest_period_labels, pivot_mean, pivot_periods
+from prepflow.operators.reshape import (
+    all_values,
+    keep_recent,
+    latest_period_labels,
+    pivot_mean,
+    pivot_periods,
+    pivot_two_keys,
+)
 from prepflow.sources.scratch import settle
 
 
@@ -31,16 +38,21 @@ def monthly_transpose(
     loan_measures: list[str],
     running_months: int,
     loan_months: int,
+    second_key: str | None = None,
 ) -> MonthlyTables:
     """Running-account means per month beside loan means per month and measure.
 
-    ``M1`` is each table's own latest month. The merged table keeps every key of
+    ``M1`` is each table's own latest month. With ``second_key`` the loans are
+    spread over month and that column together (``M1-<value>-<measure>``). The merged table keeps every key of
     whichever table has more keys; the other one's columns are null where it has
     no such key. Both wide tables are written out before they are counted and
     joined, so each history is pivoted once.
     """
     running_wide = settle(pivot_periods(running, key, period, [running_measure], running_months, name="{period}"), "running")
-    loan_wide = pivot_periods(loans, key, period, loan_measures, loan_months, name="{period}-{measure}")
+    if second_key is None:
+        loan_wide = pivot_periods(loans, key, period, loan_measures, loan_months, name="{period}-{measure}")
+    else:
+        loan_wide = pivot_two_keys(keep_recent(loans, period, loan_months), [key], period, second_key, loan_measures)
     loan_wide = settle(cast_columns(loan_wide, {key: "bigint"}), "loans")
     labels = latest_period_labels(running, period, running_months).select(F.col("label").alias("Month_label"))
     return MonthlyTables(join_keep_larger(running_wide, loan_wide, key), running_wide, labels)

@@ -82,7 +82,7 @@ def test_gaps_of_a_measure_a_key_never_has_stay_null(spark):
 
 def test_two_key_pivot_names(spark):
     df = spark.createDataFrame([(1, "M1", "a", 3.0), (1, "M2", "b", 5.0)], "k int, m string, t string, v double")
-    assert reshape.pivot_two_keys(df, ["k"], "m", "t", "v").first().asDict() == {"k": 1, "M1-a-v": 3.0, "M2-b-v": 5.0}
+    assert reshape.pivot_two_keys(df, ["k"], "m", "t", ["v"]).first().asDict() == {"k": 1, "M1-a-v": 3.0, "M2-b-v": 5.0}
 
 
 def test_monthly_transpose_keeps_the_larger_side(spark):
@@ -94,6 +94,13 @@ def test_monthly_transpose_keeps_the_larger_side(spark):
     assert bag(out.month_labels) == [("M1",), ("M2",)]
 
 
+def test_monthly_transpose_with_two_pivot_keys(spark):
+    running = spark.createDataFrame([(1, "2021-01", 10.0)], "k int, m string, v double")
+    loans = spark.createDataFrame([(1, "2021-01", "x", 1.0), (2, "2021-02", "y", 2.0), (2, "2020-12", "y", 9.0)], "k int, m string, t string, w double")
+    out = monthly_transpose(running, loans, "k", "m", "v", ["w"], 1, 2, second_key="t")
+    assert bag(out.merged, "k", "M1", "M1-y-w", "M2-x-w") == [(1, 10.0, 0.0, 1.0), (2, None, 2.0, 0.0)]
+
+
 def test_multi_output_transpose(spark):
     inputs = spark.createDataFrame(
         [(1, 1, "x", "p1", 2.0, "red", None), (1, 2, "y", "p2", 4.0, None, "s"), (2, 1, "z", "p1", 6.0, "blue", "t"), (3, 1, "w", "p1", 1.0, "red", "t")],
@@ -186,16 +193,17 @@ def test_index_equals_mllib(spark):
     assert set(bag(ours.select("s", F.col("i").cast("double")))) == set(bag(theirs))
 
 
-def test_onehot_unknowns(spark):
+def test_onehot_unknowns(spark, tmp_path):
     df = spark.createDataFrame([("b",), ("a",), (None,)], "s string")
-    fitted = encode.fit_onehot(df, ["s"])
+    fitted = encode.load_onehot(spark, encode.save_onehot(spark, encode.fit_onehot(df, ["s"]), str(tmp_path / "onehot")))
+    assert fitted == {"s": ["a", "b"]}
     new = spark.createDataFrame([("a",), ("q",)], "s string")
     assert bag(encode.apply_onehot(new, fitted)) == [(0.0, 0.0), (1.0, 0.0)]
     with pytest.raises(Exception, match="unknown category"):
         encode.apply_onehot(new, fitted, "error").collect()
 
 
-def test_scalers(spark):
+def test_scalers(spark, tmp_path):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "x double, k double")
@@ -203,6 +211,8 @@ def test_scalers(spark):
     mean, dev = 7 / 3, math.sqrt(sum((v - 7 / 3) ** 2 for v in (1, 2, 4)) / 3)
     assert [round(r.x, 9) for r in z.collect()] == [round((v - mean) / dev, 9) for v in (1, 2, 4)]
     assert {r.k for r in z.collect()} == {0.0}
+    fitted = scale.fit_scaler(df, ["x", "k"], center=True, ddof=0)
+    assert scale.FittedScaler.load(spark, fitted.save(spark, str(tmp_path / "scaler"))) == fitted
     ours = scale.apply_scaler(df, scale.fit_scaler(df, ["x", "k"], center=False, ddof=1))
     vectors = VectorAssembler(inputCols=["x", "k"], outputCol="v").transform(df)
     theirs = StandardScaler(inputCol="v", outputCol="o").fit(vectors).transform(vectors)
