@@ -233,8 +233,9 @@ def _with_gaps(df):
 
 def _scored(spark, folder, label, algorithm, params):
     """Impute, drop the constant column, train, then score all rows with the stored parts."""
-    df = _with_gaps(_line_rows(spark, folder))
-    imputer = clean.fit_imputer_both(df, "median", leave_out=(label, *LINE_KEY))
+    rows = lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_returnflag", "l_extendedprice")
+    imputer = clean.fit_imputer_both(_with_gaps(rows), "median", leave_out=(label, *LINE_KEY))
+    df = _with_gaps(models.spread(rows, LINE_KEY))
     dropped = ("source", label)
     flow = flows.train(clean.apply_imputer(df, imputer).drop("source"), label, LINE_KEY, algorithm, params)
     return flows.score(

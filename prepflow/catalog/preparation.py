@@ -518,12 +518,33 @@ def select_anova(spark, folder):
     return spark.createDataFrame([(c, i + 1) for i, c in enumerate(best)], "column_name string, place int")
 
 
-@query("select_chisq")
+_CHOICES = ["l_quantity", "l_discount", "l_tax"]
+# Three classes make every number of degrees of freedom even, and then the tail
+# probability is a finite sum: exp(-x/2) * sum of (x/2)^i / i! for i < df/2.
+_CHI_TAIL = (
+    "select column_name, list_sum(list_transform(range(0, df // 2), lambda i: exp(i * ln(statistic / 2) - lgamma(i + 1) - statistic / 2))) as p from ("
+    + " union all ".join(_chi_sql(c) for c in _CHOICES)
+    + ")"
+)
+_CHOSEN = f"(select column_name from ({_CHI_TAIL}) order by p limit 2)"
+
+
+def _value_of(place):
+    """The row's value of the feature at a place in the list of choices."""
+    return f"case {place} " + " ".join(f"when {i} then {c}" for i, c in enumerate(_CHOICES)) + " end"
+
+
+@query(
+    "select_chisq",
+    f"with chosen as (select list_sort(list(case column_name when 'l_quantity' then 0 when 'l_discount' then 1 else 2 end)) as places from {_CHOSEN}) "
+    f"select {_KEYS}, case places[1] when 0 then 'l_quantity' else 'l_discount' end || ',' || case places[2] when 1 then 'l_discount' else 'l_tax' end as chosen, "
+    f"{_value_of('places[1]')} as first, {_value_of('places[2]')} as second from lineitem, chosen",
+)
 def select_chisq(spark, folder):
-    """MLlib's chi-square selection of two features; rows with the chosen values."""
-    df = lineitem(spark, folder).select(*LINE_KEY, "l_quantity", "l_discount", "l_tax", "l_returnflag")
+    """MLlib's chi-square selection of two features; each row with its values of those."""
+    df = lineitem(spark, folder).select(*LINE_KEY, *_CHOICES, "l_returnflag")
     label = StringIndexer(inputCol="l_returnflag", outputCol="label").fit(df).transform(df)
-    out, names = select.select_top(label, ["l_quantity", "l_discount", "l_tax"], "label", 2, "chisquare")
+    out, names = select.select_top(label, _CHOICES, "label", 2, "chisquare")
     values = vector_to_array("selectedFeatures")
     return out.select(*LINE_KEY, F.lit(",".join(names)).alias("chosen"), values[0].alias("first"), values[1].alias("second"))
 

@@ -109,7 +109,7 @@ def csv_roundtrip(spark, folder):
 @query("csv_inferred", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def csv_inferred(spark, folder):
     supplier = files.read_parquet(spark, folder, "supplier")
-    path = files.write_csv(supplier, scratch_path(spark, "csv"), files=1)
+    path = files.write_csv(supplier, scratch_path(spark, "csv"), files=6)
     back = files.read_csv(spark, path)
     return back.select(*[F.col(c).cast(t) for c, t in supplier.dtypes])
 

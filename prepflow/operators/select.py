@@ -80,7 +80,8 @@ def top_by_anova(df: DataFrame, features: list[str], label: str, n: int) -> list
 
 
 def select_top(df: DataFrame, features: list[str], label: str, n: int, kind: str) -> tuple[DataFrame, list[str]]:
-    """Add ``selectedFeatures`` with MLlib's selector; also the chosen names.
+    """Add ``selectedFeatures`` with MLlib's selector; also the chosen names, in the
+    order of their values in that vector.
 
     ``kind``: ``chisquare`` for categorical features, ``univariate`` for
     continuous ones. ``label`` must be numeric.
@@ -92,7 +93,7 @@ def select_top(df: DataFrame, features: list[str], label: str, n: int, kind: str
     selector.setFeatureType("categorical" if kind == "chisquare" else "continuous")
     selector.setLabelType("categorical").setSelectionThreshold(n)
     model = selector.fit(assembled)
-    return model.transform(assembled), [features[i] for i in model.selectedFeatures]
+    return model.transform(assembled), [features[i] for i in sorted(model.selectedFeatures)]
 
 
 def bin_equal_width(df: DataFrame, columns: list[str], bins: int) -> DataFrame:

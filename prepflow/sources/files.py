@@ -42,12 +42,12 @@ def write_csv(
 ) -> str:
     """Overwrite ``path`` with CSV files that carry a header.
 
-    ``files`` lowers the number of output files; left out, every partition
-    writes its own. ``partition_by`` lays the rows out as ``column=value`` folders.
+    ``files`` sets the number of output files by a shuffle, which leaves the work
+    before it parallel; left out, every partition writes its own. ``partition_by`` lays the rows out as ``column=value`` folders.
     """
     out = csv_safe(df)
     if files is not None:
-        out = out.coalesce(files)
+        out = out.repartition(files)
     writer = out.write.mode("overwrite").option("header", True)
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
