@@ -11,11 +11,13 @@ from prepflow.functions.scalars import stable_hash
 from prepflow.operators.aggregate import value_counts
 from prepflow.operators.joins import lookup_join
 from prepflow.operators.ranking import number_rows
+from prepflow.sources.scratch import settle
 
 HASH_RANGE = 2**32
 ROWS_PER_CELL = 50_000
 MAX_CELL_BITS = 16
 DRAWS_PER_COPY = 65_536
+FEW_DRAWS = 4
 
 
 def number_in_class(df: DataFrame, label: str, key: str, seed: int, total: int) -> DataFrame:
@@ -52,6 +54,9 @@ def resample(df: DataFrame, label: str, key: str, mode: str, seed: int = 12345)
     class size``. When a small class is drawn very often its rows are copied
     first and the draws spread over the copies, so that no join key gets more
     than about ``DRAWS_PER_COPY`` draws.
+
+    When there are fewer than one draw per ``FEW_DRAWS`` rows, only keys are
+    numbered and shuffled, and the full rows are looked up by the drawn keys.
     """
     known = df.where(F.col(label).isNotNull())
     classes = number_rows(value_counts(known, label), [F.col(label).asc()], "class_no")
@@ -66,7 +71,8 @@ def resample(df: DataFrame, label: str, key: str, mode: str, seed: int = 12345)
     copies = F.greatest(F.ceil(F.lit(size) / per_copy), F.lit(1)).cast("bigint")
     classes = classes.select(label, F.col("count").alias("_class_size"), "class_no", copies.alias("_copies"))
 
-    rows = number_in_class(known, label, key, seed, facts.n)
+    few = size * facts.k * FEW_DRAWS <= facts.n
+    rows = number_in_class(known.select(label, key) if few else known, label, key, seed, facts.n)
     if size <= facts.min * DRAWS_PER_COPY:  # no class needs more than one copy
         rows = rows.withColumn("_copy", F.lit(0).cast("bigint"))
     else:
@@ -86,7 +92,10 @@ def resample(df: DataFrame, label: str, key: str, mode: str, seed: int = 12345)
         (stable_hash(F.lit(seed), F.col(label), F.col("draw")) % F.col("_class_size")).alias("position"),
         (F.col("draw") % F.col("_copies")).alias("_copy"),
     )
-    return draws.join(rows, [label, "position", "_copy"]).select(*df.columns, "draw")
+    drawn = draws.join(rows, [label, "position", "_copy"])
+    if few:
+        drawn = known.join(settle(drawn.select(key, "draw"), "draws"), key)
+    return drawn.select(*df.columns, "draw")
 
 
 def resample_each(df: DataFrame, labels: list[str], key: str, mode: str, seed: int = 12345) -> DataFrame:

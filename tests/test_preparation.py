@@ -263,7 +263,9 @@ def test_resampling_is_exact_and_stable(spark, monkeypatch, mode):
     assert {r.y: r["count"] for r in sampling.resample(df, "y", "id", mode).groupBy("y").count().collect()} == dict.fromkeys(sizes, want)
     monkeypatch.setattr(sampling, "ROWS_PER_CELL", 50)
     monkeypatch.setattr(sampling, "DRAWS_PER_COPY", 3)
-    assert bag(sampling.resample(df.repartition(7), "y", "id", mode)) == plain
+    for few in (10_000, 0):  # never and always look the rows up by their keys
+        monkeypatch.setattr(sampling, "FEW_DRAWS", few)
+        assert bag(sampling.resample(df.repartition(7), "y", "id", mode)) == plain
     truth = dict(df.collect())
     assert all(truth[r[0]] == r[1] for r in plain)
 
