@@ -503,7 +503,7 @@ _PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orde
 
 @query("distinct_profile", " union all ".join(f"select '{c}' as column_name, count(distinct {c}) as distinct_count from {ORD_GAPS}" for c in _PROFILED))
 def distinct_profile(spark, folder):
-    return aggregate.distinct_profile(orders_with_gaps(spark, folder), _PROFILED)
+    return aggregate.distinct_profile(orders_with_gaps(spark, folder), _PROFILED).drop("rows")
 
 
 @query("value_counts", f"select o_orderpriority, count(*) as count from {ORD_GAPS} group by 1")

@@ -28,26 +28,51 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def long_form(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per cell: column name, value as text, value as number where it has one."""
+VALUE = ["whole", "number", "text"]
+
+
+def cells(df: DataFrame, columns: list[str]) -> Column:
+    """An array with one entry per column: its number in ``columns`` and its value in
+    the slot of its kind. Numbers keep their own type, which is cheaper than text
+    and keeps their order; missing values leave all three slots null.
+    """
     kinds = dict(df.dtypes)
-    cells = []
-    for c in columns if columns is not None else df.columns:
-        value = missing_as_null(c, kinds[c])
-        numeric = kinds[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or kinds[c].startswith("decimal")
-        number = value.cast("double") if numeric else F.lit(None).cast("double")
-        cells.append(F.struct(F.lit(c).alias("column_name"), value.cast("string").alias("value"), number.alias("number")))
-    return df.select(F.inline(F.array(*cells)))
+    entries = []
+    for i, c in enumerate(columns):
+        kind, value = kinds[c], missing_as_null(c, kinds[c])
+        slot = "whole" if kind in ("tinyint", "smallint", "int", "bigint") else "number" if kind in ("float", "double") else "text"
+        entry = [F.lit(i).alias("column")]
+        for name, dtype in zip(VALUE, ("bigint", "double", "string")):
+            entry.append((value if name == slot else F.lit(None)).cast(dtype).alias(name))
+        entries.append(F.struct(*entry))
+    return F.array(*entries)
+
+
+def known() -> Column:
+    """True for cells that hold a value."""
+    return F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
+
+
+def column_name(columns: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("column") + 1).alias("column_name")
+
+
+def value_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows per column and value, all columns in one scan and one shuffle of values."""
+    return df.select(F.inline(cells(df, columns))).groupBy("column", *VALUE).agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Distinct non-null values per column.
+    """Distinct non-null values and rows per column.
 
-    Goes through the long form: several distinct counts in one aggregate would
-    multiply the rows in the same way and then shuffle them in one wide format.
+    Counts values in the long form: one aggregate with a distinct count per column
+    multiplies the rows in the same way and then shuffles them in one wide format.
     """
     names = columns if columns is not None else df.columns
-    return long_form(df, names).groupBy("column_name").agg(F.count_distinct("value").alias("distinct_count"))
+    counts = value_profile(df, names).groupBy("column").agg(
+        F.count_if(known()).alias("distinct_count"), F.sum("n").alias("rows")
+    )
+    return counts.select(column_name(names), "distinct_count", "rows")
 
 
 def approx_distinct_profile(df: DataFrame, rsd: float = 0.01) -> DataFrame:
@@ -69,18 +94,10 @@ def mode_per_column(df: DataFrame, columns: list[str]) -> DataFrame:
     Equal counts go to the smallest value: by number for numeric columns, by
     text otherwise. A column without values is absent from the result.
     """
-    counted = (
-        long_form(df, columns)
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value", "number")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    best = F.min(F.struct((-F.col("n")).alias("less"), "number", "value")).alias("best")
-    return (
-        counted.groupBy("column_name")
-        .agg(best)
-        .select("column_name", F.col("best.value").alias("mode"), (-F.col("best.less")).alias("count"))
-    )
+    counted = value_profile(df, columns).where(known())
+    best = F.min(F.struct((-F.col("n")).alias("less"), *VALUE)).alias("best")
+    mode = F.coalesce(*[F.col(f"best.{v}").cast("string") for v in VALUE]).alias("mode")
+    return counted.groupBy("column").agg(best).select(column_name(columns), mode, (-F.col("best.less")).alias("count"))
 
 
 def minmax_profile(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -8,20 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepflow.functions.scalars import missing_as_null
-from prepflow.operators.aggregate import long_form, mode_per_column
+from prepflow.operators.aggregate import distinct_profile, mode_per_column
 from prepflow.operators.columns import TypeSplit, split_by_type
 from prepflow.operators.quantiles import exact_quantiles
 
 
-def cardinality(df: DataFrame) -> DataFrame:
-    """Distinct count and row count per column from one scan."""
-    return (
-        long_form(df)
-        .groupBy("column_name")
-        .agg(F.count_distinct("value").alias("distinct_count"), F.count(F.lit(1)).alias("rows"))
-    )
-
-
 def cardinality_decisions(df: DataFrame, lower: float, upper_fraction: float, whole_upper: bool = False) -> DataFrame:
     """Which columns to drop: at most ``lower`` distinct values, or at least
     ``upper_fraction`` of the row count. ``whole_upper`` cuts that product to an integer.
@@ -30,7 +21,7 @@ def cardinality_decisions(df: DataFrame, lower: float, upper_fraction: float, wh
     if whole_upper:
         bound = F.floor(bound)
     drop = (F.col("distinct_count") <= F.lit(lower)) | (F.col("distinct_count") >= bound)
-    return cardinality(df).select("column_name", "distinct_count", drop.alias("dropped"))
+    return distinct_profile(df).select("column_name", "distinct_count", drop.alias("dropped"))
 
 
 def drop_by_cardinality(df: DataFrame, lower: float, upper_fraction: float) -> tuple[DataFrame, list[str]]:

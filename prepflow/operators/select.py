@@ -6,6 +6,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prepflow.operators.aggregate import VALUE, cells, column_name, known
 from prepflow.sources.scratch import settle
 
 
@@ -15,50 +16,41 @@ def chi_square_stats(df: DataFrame, features: list[str], label: str) -> DataFram
     Uses n * (sum of o^2 / (row total * column total) - 1), which needs the
     observed cells only, so the full value by class grid is never built.
     """
-    cells = settle(
-        _with_label(df, features, label).groupBy("column_name", "value", "label").agg(F.count(F.lit(1)).alias("o")),
-        "contingency",
-    )
-    classes = settle(cells.groupBy("column_name", "label").agg(F.sum("o").alias("class_total")), "class-totals")
+    labelled = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.explode(cells(df, features)).alias("cell"))
+    observed = labelled.select("label", "cell.*").where(known())
+    table = settle(observed.groupBy("column", *VALUE, "label").agg(F.count(F.lit(1)).alias("o")), "contingency")
+    classes = settle(table.groupBy("column", "label").agg(F.sum("o").alias("class_total")), "class-totals")
     per_value = (
-        cells.join(classes, ["column_name", "label"])
-        .groupBy("column_name", "value")
+        table.join(classes, ["column", "label"])
+        .groupBy("column", *VALUE)
         .agg(F.sum(F.col("o") * F.col("o") / F.col("class_total")).alias("s"), F.sum("o").alias("total"))
     )
-    per_feature = per_value.groupBy("column_name").agg(
+    per_feature = per_value.groupBy("column").agg(
         F.sum(F.col("s") / F.col("total")).alias("s"), F.sum("total").alias("n"), F.count(F.lit(1)).alias("n_values")
     )
-    sizes = classes.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_classes"))
-    return per_feature.join(sizes, "column_name").select(
-        "column_name",
+    sizes = classes.groupBy("column").agg(F.count(F.lit(1)).alias("n_classes"))
+    return per_feature.join(sizes, "column").select(
+        column_name(features),
         (F.col("n") * (F.col("s") - 1)).alias("statistic"),
         ((F.col("n_values") - 1) * (F.col("n_classes") - 1)).alias("df"),
     )
 
 
-def _with_label(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """Feature cells paired with the label of their row, rows without either left out."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in features])
-    paired = df.select(F.col(label).alias("label"), F.explode(cells).alias("cell"))
-    return paired.select("label", "cell.*").where(F.col("label").isNotNull() & F.col("value").isNotNull())
-
-
 def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """One-way F statistic of each feature across the label's classes, from one scan."""
-    known = df.where(F.col(label).isNotNull())
     stats = [f(c).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))]
-    per_class = known.groupBy(label).agg(*stats)
+    per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(*stats)
     rows = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{c}").cast("double").alias(n) for n in ("n", "m", "v")])
             for c in features
         ]
     )
-    cells = per_class.select(F.inline(rows)).where(F.col("n") > 0)
+    by_class = per_class.select(F.inline(rows)).where(F.col("n") > 0)
     all_classes = Window.partitionBy("column_name")
     mean = F.sum(F.col("n") * F.col("m")).over(all_classes) / F.sum("n").over(all_classes)
     sums = (
-        cells.withColumn("mean", mean)
+        by_class.withColumn("mean", mean)
         .groupBy("column_name")
         .agg(
             F.sum(F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))).alias("between"),
