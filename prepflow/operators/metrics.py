@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepflow.operators.reshape import all_values
+from prepflow.sources.scratch import settle
 
 
 def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -18,9 +19,10 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """One row per class, one column per class named ``p_<class>``, zeros filled.
 
-    The classes are all values that occur as actual or as predicted.
+    The classes are all values that occur as actual or as predicted. The counts are
+    written out once, since predictions are costly and the counts are used three times.
     """
-    counts = confusion_counts(df, actual, predicted)
+    counts = settle(confusion_counts(df, actual, predicted), "confusion")
     both = counts.select(F.explode(F.array("actual", "predicted")).alias("actual"))
     classes = [v for (v,) in all_values(both, "actual")]
     wide = counts.groupBy("actual").pivot("predicted", classes).agg(F.sum("count"))

@@ -55,8 +55,8 @@ def empty_table(
 
 
 def write_jdbc(df: DataFrame, url: str, name: str, properties: dict[str, str], connections: int = 16) -> None:
-    """Replace a database table; at most ``connections`` partitions write at once."""
-    df.coalesce(connections).write.option("truncate", True).mode("overwrite").jdbc(url, name, properties=properties)
+    """Replace a database table; ``connections`` tasks write at once."""
+    df.repartition(connections).write.option("truncate", True).mode("overwrite").jdbc(url, name, properties=properties)
 
 
 def read_jdbc(
