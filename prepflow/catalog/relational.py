@@ -681,8 +681,8 @@ def vector_max_pct(spark, folder):
 
 # ---- mutations ---------------------------------------------------------------
 
-_NEW = [(900_000_004, 4, "Dheeraj", 1234.0, "Delhi")]
-_MANY = [(900_000_005, 5, "DDD", 1000.0, "Hyd"), (900_000_006, 6, "HHH", 1000.0, "Hyd"), (900_000_007, 7, "MMM", 1000.0, "Hyd")]
+_NEW = [(900_000_004, 4, "Iris", 1234.0, "HARBOUR")]
+_MANY = [(900_000_005 + i, 5 + i, name, 1000.0, "MACHINERY") for i, name in enumerate(["Juno", "Kaja", "Lars"])]
 
 
 def _values_sql(rows):
