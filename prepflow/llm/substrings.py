@@ -207,6 +207,7 @@ def repeated_runs(docs: DataFrame, window: int, anchor: int, shard_words: int, h
     """(rid, runs): for each text with repeated windows, (first, last) window starts. ``docs`` has rid and text."""
     found = settle(segments(docs, window, anchor), "segments")
     often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    often = settle(often, "shared-grams")  # a plain side, so that the join below can split a hot minimizer
     found = settle(found.join(often, "gram"), "shared-segments")
     once = found.groupBy("gram", "seg").agg(F.count("*").alias("copies"), F.first("rid").alias("rid"), F.first("place").alias("place"))
     once = settle(once, "distinct-segments")
