@@ -17,9 +17,9 @@ from prepflow.operators import aggregate, columns, joins, mutate, quantiles, res
 from prepflow.sources import audit, files, manifest, tables
 from prepflow.sources.scratch import scratch_path
 
-EMP = "(select c_custkey as id, c_custkey::int as eno, c_name as ename, c_acctbal as esal, c_mktsegment as eaddr from customer)"
+EMP = "(select c_custkey as id, c_custkey as eno, c_name as ename, c_acctbal as esal, c_mktsegment as eaddr from customer)"
 EMP_GAPS = (
-    "(select c_custkey as id, c_custkey::int as eno, c_name as ename, "
+    "(select c_custkey as id, c_custkey as eno, c_name as ename, "
     "case when c_custkey % 7 <> 0 then c_acctbal end as esal, "
     "case when c_custkey % 5 <> 0 then c_mktsegment end as eaddr from customer)"
 )
@@ -45,7 +45,7 @@ def rounded(df, keep, digits=4):
 def employees(spark, folder):
     return files.read_parquet(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"),
-        F.col("c_custkey").cast("int").alias("eno"),
+        F.col("c_custkey").alias("eno"),
         F.col("c_name").alias("ename"),
         F.col("c_acctbal").alias("esal"),
         F.col("c_mktsegment").alias("eaddr"),
@@ -186,12 +186,11 @@ def file_manifest(spark, folder):
 @query("content_fingerprint", "select count(*) as rows, true as same from orders")
 def content_fingerprint(spark, folder):
     """The checksum of the rows is the same before and after a trip through CSV files."""
-    source = orders(spark, folder).drop("o_orderdate")
+    source = orders(spark, folder)
     path = files.write_csv(source, scratch_path(spark, "csv"))
     back = files.read_csv(spark, path, source.schema)
-    a = manifest.row_fingerprint(source)
-    b = manifest.row_fingerprint(back).select(F.col("rows").alias("rows_b"), F.col("checksum").alias("checksum_b"))
-    return a.join(b, a["rows"] == b["rows_b"]).select("rows", (F.col("checksum") == F.col("checksum_b")).alias("same"))
+    both = manifest.row_fingerprint(source).union(manifest.row_fingerprint(back))
+    return both.agg(F.first("rows").alias("rows"), (F.countDistinct("rows", "checksum") == 1).alias("same"))
 
 
 @query(
@@ -681,22 +680,34 @@ def vector_max_pct(spark, folder):
 
 # ---- mutations ---------------------------------------------------------------
 
-_NEW = [(900_000_004, 4, "Iris", 1234.0, "HARBOUR")]
-_MANY = [(900_000_005 + i, 5 + i, name, 1000.0, "MACHINERY") for i, name in enumerate(["Juno", "Kaja", "Lars"])]
+_SUPPLIERS_SQL = (
+    "select s_suppkey + (select max(c_custkey) from customer) + 1 as id, s_suppkey as eno, s_name as ename, s_acctbal as esal, "
+    "'SUPPLIER' as eaddr from supplier"
+)
 
 
-def _values_sql(rows):
-    return "(values " + ", ".join(f"({i}, {n}, '{a}', {s}::double, '{b}')" for i, n, a, s, b in rows) + ") as t(id, eno, ename, esal, eaddr)"
+def suppliers_as_employees(spark, folder):
+    """Suppliers as new employees, their keys shifted beyond those in use."""
+    last = files.read_parquet(spark, folder, "customer").agg(F.max("c_custkey")).first()[0]
+    return files.read_parquet(spark, folder, "supplier").select(
+        (F.col("s_suppkey") + F.lit(last + 1)).alias("id"),
+        F.col("s_suppkey").alias("eno"),
+        F.col("s_name").alias("ename"),
+        F.col("s_acctbal").alias("esal"),
+        F.lit("SUPPLIER").alias("eaddr"),
+    )
 
 
-@query("insert_row", f"select * from {EMP} union all select * from {_values_sql(_NEW)}")
+@query("insert_row", f"select * from {EMP} union all ({_SUPPLIERS_SQL} order by s_acctbal desc, s_suppkey limit 1)")
 def insert_row(spark, folder):
-    return mutate.insert_rows(employees(spark, folder), _NEW)
+    """The supplier with the largest balance joins the employees."""
+    first = suppliers_as_employees(spark, folder).orderBy(F.col("esal").desc(), "eno").limit(1)
+    return mutate.insert_rows(employees(spark, folder), first)
 
 
-@query("insert_rows", f"select * from {EMP} union all select * from {_values_sql(_MANY)}")
+@query("insert_rows", f"select * from {EMP} union all {_SUPPLIERS_SQL}")
 def insert_rows(spark, folder):
-    return mutate.insert_rows(employees(spark, folder), _MANY)
+    return mutate.insert_rows(employees(spark, folder), suppliers_as_employees(spark, folder))
 
 
 @query("update_row", f"select id, eno, case when id = 3 then 'Changed' else ename end as ename, esal, eaddr from {EMP}")

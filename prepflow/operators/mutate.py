@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def insert_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
-    """``df`` followed by literal rows in the column order of ``df``."""
-    return df.unionAll(df.sparkSession.createDataFrame(rows, df.schema))
+def insert_rows(df: DataFrame, rows: DataFrame | list[tuple]) -> DataFrame:
+    """``df`` followed by the rows of another frame, or by literal ones, in the column order of ``df``."""
+    if not isinstance(rows, DataFrame):
+        rows = df.sparkSession.createDataFrame(rows, df.schema)
+    return df.unionAll(rows)
 
 
 def update_where(df: DataFrame, condition: Column, changes: dict[str, object]) -> DataFrame:
