@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Both directions, so that text survives: quotes are doubled, blanks kept, null and empty text differ.
+TEXT_RULES = {
+    "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred by an extra pass."""
-    reader = spark.read.option("header", True)
+    """CSV with a header; cells may hold newlines. Without a schema the types are inferred by an extra pass."""
+    reader = spark.read.option("header", True).options(**TEXT_RULES).options(multiLine=True, emptyValue="")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -48,10 +54,15 @@ def write_csv(
     out = csv_safe(df)
     if files is not None:
         out = out.repartition(files)
-    writer = out.write.mode("overwrite").option("header", True)
+    writer = out.write.mode("overwrite").option("header", True).options(**TEXT_RULES)
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    if partition_by:
+    if partition_by:  # a few tasks for each folder instead of all of them
+        salt = F.pmod(F.xxhash64(*out.columns), F.lit(8))
+        out = out.repartition(*partition_by, salt) if files is None else out
+        writer = out.write.mode("overwrite").option("header", True).options(**TEXT_RULES)
+        if max_rows_per_file is not None:
+            writer = writer.option("maxRecordsPerFile", max_rows_per_file)
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
     return path

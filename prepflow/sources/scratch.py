@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
+_MADE: dict[str, set[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session; a folder in the warehouse, which all machines share too, where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    return named.rstrip("/")
 
-    A temporary folder stands in only for a local session that names none; a
-    cluster session without the setting is refused, since a machine-local path
-    would be invisible to the other machines.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="prepflow-")
-    return _LOCAL_ROOTS[app]
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes what this application has put into the scratch folder; frames made from it can't be read any more."""
+    made = _MADE.pop(spark.sparkContext.applicationId, set())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(made)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

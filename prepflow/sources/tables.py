@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -26,18 +28,27 @@ def column_names_in(df: DataFrame, limit: int = 100_000) -> list[str]:
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace table ``name`` by the rows of ``df``, which may read the old table.
 
-    The new rows are written under a staging name first and renamed after, so a
-    failed write leaves the old table in place.
+    The new rows are written under a name of their own first. The old table keeps its
+    rows under another name until the new one bears ``name``, and comes back if that
+    fails. Between the two renames readers find no table.
     """
     spark = df.sparkSession
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    staging, old = f"{name}__new_{uuid.uuid4().hex[:8]}", f"{name}__old_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    there = spark.catalog.tableExists(name)
+    if there:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {old}")
     return spark.table(name)
 
 
