@@ -19,7 +19,7 @@ from prepflow.sources import files
 from prepflow.sources.scratch import scratch_path
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linestatus"]
-FOREST = {"numTrees": 10, "maxDepth": 5, "maxBins": 32}
+FOREST = {"numTrees": 20, "maxDepth": 5, "maxBins": 32}
 _KEYS = ", ".join(LINE_KEY)
 
 
@@ -50,7 +50,7 @@ def dt_classify(spark, folder):
 
 @query("gbt_regress")
 def gbt_regress(spark, folder):
-    return _shown(_predictions(spark, folder, "l_extendedprice", "GBTR", {"maxIter": 5})[2])
+    return _shown(_predictions(spark, folder, "l_extendedprice", "GBTR")[2])
 
 
 @query("rf_regress")
@@ -60,7 +60,7 @@ def rf_regress(spark, folder):
 
 @query("gbt_classify")
 def gbt_classify(spark, folder):
-    return _shown(_predictions(spark, folder, "l_returnflag", "GBTC", {"maxIter": 3})[2])
+    return _shown(_predictions(spark, folder, "l_returnflag", "GBTC")[2])
 
 
 def _outputs(spark, folder):
@@ -83,7 +83,7 @@ def _multi(spark, folder):
     df = models.spread(_outputs(spark, folder), LINE_KEY)
     fit_on, held_out = flows.split_rows(df, LINE_KEY, 0.8)
     features = models.fit_features(fit_on, (*LINE_KEY, *_Y))
-    fitted = models.fit_multioutput(features.transform(fit_on), _Y, params={"numTrees": 5, "maxDepth": 5})
+    fitted = models.fit_multioutput(features.transform(fit_on), _Y, params={"numTrees": 20, "maxDepth": 5})
     return df, held_out, features, fitted
 
 

@@ -209,15 +209,20 @@ def drop_by_cardinality_pct(spark, folder):
     return clean.cardinality_decisions(_with_constant(spark, folder), int(50 / 100), 80 / 100, whole_upper=True)
 
 
-@query(
-    "drop_columns_kept",
-    "select o_custkey, o_orderstatus, case when o_orderkey % 5 <> 0 then o_orderpriority end as o_orderpriority from orders",
-)
+def _kept_sql(source, names, lower, upper):
+    return " union all ".join(
+        f"select '{c}' as column_name, count({e}) as filled from {source} having count(distinct {e}) > {lower} and count(distinct {e}) < {upper}"
+        for c, e in names.items()
+    )
+
+
+@query("drop_columns_kept", _kept_sql(ORD_GAPS, {c: e for c, e in _DECIDED.items() if c != "source"}, 0, "floor(0.8 * count(*))"))
 def drop_columns_kept(spark, folder):
-    """The frame that is left once near-unique, constant and date columns are gone."""
+    """The columns that are left once near-unique, empty and date columns are gone, with their numbers of values."""
     df = _with_constant(spark, folder).withColumn("day", F.lit("2024-01-01"))
     kept, _ = clean.drop_by_cardinality_percent(df, 50, 80, ["day", "source"])
-    return kept.drop("o_totalprice") if "o_totalprice" in kept.columns else kept
+    filled = kept.agg(*[F.count(c).alias(c) for c in kept.columns])
+    return filled.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in kept.columns])))
 
 
 def _imputed_sql(price, cust):
@@ -566,10 +571,14 @@ def _hash_sql(text):
     return f"('0x' || substr(md5({text}), 1, 8))::bigint"
 
 
+def _wide_hash_sql(text):
+    return f"('0x' || substr(md5({text}), 1, 15))::bigint"
+
+
 def _draw_sql(label, which):
     return (
         f"select r.o_orderkey, r.o_orderstatus, r.o_orderpriority, d.draw, '{label}' as \"by\" from "
-        f"(select k.y, k.n, i.draw, {_hash_sql('12345::varchar || chr(45) || k.y || chr(45) || i.draw::varchar')} % k.n as position "
+        f"(select k.y, k.n, i.draw, {_wide_hash_sql('12345::varchar || chr(45) || k.y || chr(45) || i.draw::varchar')} % k.n as position "
         f"from (select {label} as y, count(*) as n from orders group by 1) k "
         f"cross join (select unnest(range((select {which}(n) from (select count(*) as n from orders group by {label})))) as draw) i) d "
         f"join (select *, row_number() over (partition by {label} order by {_hash_sql('12345::varchar || chr(45) || o_orderkey::varchar')}, o_orderkey) - 1 as position from orders) r "
@@ -603,9 +612,10 @@ def split_random(spark, folder):
 
 
 _KEY_HASH = _hash_sql("12345::varchar || chr(45) || o_orderkey::varchar")
+_KEY_WIDE = _wide_hash_sql("12345::varchar || chr(45) || o_orderkey::varchar")
 
 
-@query("split_hash", f"select o_orderkey, case when {_KEY_HASH} % 100 < 80 then 'train' else 'test' end as side from orders")
+@query("split_hash", f"select o_orderkey, case when {_KEY_WIDE} < {int(0.8 * (1 << 60))} then 'train' else 'test' end as side from orders")
 def split_hash(spark, folder):
     df = orders(spark, folder).select("o_orderkey")
     return df.withColumn("side", F.when(sampling.train_flag("o_orderkey"), "train").otherwise("test"))

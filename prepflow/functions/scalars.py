@@ -38,7 +38,7 @@ def array_max_abs_percent(values: Column) -> Column:
 
 def missing_as_null(name: str, dtype: str) -> Column:
     """NaN counts as missing for floating columns; other types pass through."""
-    col = F.col(name)
+    col = F.col("`" + name.replace("`", "``") + "`")
     return F.when(~F.isnan(col), col) if dtype in ("double", "float") else col
 
 
@@ -51,5 +51,10 @@ def stable_hash(*parts: Column) -> Column:
     return F.conv(F.substring(stable_digest(*parts), 1, 8), 16, 10).cast("bigint")
 
 
+def wide_hash(*parts: Column) -> Column:
+    """Like ``stable_hash`` with 60 bits, for use where 2^32 values are too few."""
+    return F.conv(F.substring(stable_digest(*parts), 1, 15), 16, 10).cast("bigint")
+
+
 def stable_digest(*parts: Column) -> Column:
     return F.md5(F.concat_ws("-", *[p.cast("string") for p in parts]).cast("binary"))

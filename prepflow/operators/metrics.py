@@ -27,7 +27,7 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     classes = [v for (v,) in all_values(both, "actual")]
     wide = counts.groupBy("actual").pivot("predicted", classes).agg(F.sum("count"))
     wide = wide.toDF("actual", *[f"p_{c}" for c in classes])
-    return both.distinct().join(wide, "actual", "left").na.fill(0)
+    return both.distinct().join(wide, "actual", "left").na.fill(0, [f"p_{c}" for c in classes])
 
 
 def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -60,7 +60,7 @@ def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFr
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """rmse, mse, mae, r2 and var (explained variance) in one row and one scan."""
+    """rmse, mse, mae, r2 (null for a constant actual) and var (explained variance) in one row and one scan."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     mse = F.avg((y - p) * (y - p))
     bias = F.avg(p) - F.avg(y)
@@ -68,7 +68,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         F.sqrt(mse).alias("rmse"),
         mse.alias("mse"),
         F.avg(F.abs(y - p)).alias("mae"),
-        (1 - mse / F.var_pop(y)).alias("r2"),
+        (1 - F.try_divide(mse, F.var_pop(y))).alias("r2"),
         (F.var_pop(p) + bias * bias).alias("var"),
     )
 
@@ -83,7 +83,7 @@ def evaluate(df: DataFrame, actual: str, predicted: str, metric: str) -> float:
 def accuracy_per_output(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """One row: share of equal values per output, for named (actual, predicted) pairs."""
     return df.agg(
-        *[F.avg(F.when(F.col(a).cast("double") == F.col(p).cast("double"), 1.0).otherwise(0.0)).alias(n) for n, (a, p) in pairs.items()]
+        *[F.avg(F.when(F.col(a) == F.col(p), 1.0).otherwise(0.0)).alias(n) for n, (a, p) in pairs.items()]
     )
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prepflow.functions.scalars import missing_as_null
+
 from prepflow.operators.quantiles import approx_quantiles, exact_quantiles
 
 
@@ -39,25 +41,27 @@ def bounds_frame(df: DataFrame, bounds: dict[str, Bounds]) -> DataFrame:
 
 def flag_outliers(df: DataFrame, bounds: dict[str, Bounds]) -> DataFrame:
     """Add ``<column>_outlier``: the value where it is out of bounds, else null."""
-    flags = {
-        f"{c}_outlier": F.when(~F.col(c).between(F.lit(b.low), F.lit(b.high)), F.col(c)) for c, b in bounds.items()
-    }
+    kinds = dict(df.dtypes)
+    flags = {}
+    for c, b in bounds.items():
+        value = missing_as_null(c, kinds[c])
+        flags[f"{c}_outlier"] = F.when(~value.between(F.lit(b.low), F.lit(b.high)), value)
     return df.withColumns(flags)
 
 
 def cut_upper_outliers(df: DataFrame, column: str, bounds: Bounds) -> DataFrame:
     """Rows below the whole part of the smallest value above the upper bound.
 
-    Without such a value ``df`` comes back unchanged.
+    Without such a value ``df`` comes back unchanged. NaN is a missing value, never an outlier.
     """
-    c = F.col(column)
+    c = missing_as_null(column, dict(df.dtypes)[column])
     smallest = df.where(c > F.lit(bounds.high)).agg(F.min(c)).first()[0]
     return df if smallest is None else df.where(c < F.floor(F.lit(float(smallest))))
 
 
 def remove_outliers(df: DataFrame, column: str, bounds: Bounds, keep_null: bool = False) -> DataFrame:
     """Rows inside the bounds. Once there is any outlier, null rows go as well unless kept."""
-    c = F.col(column)
+    c = missing_as_null(column, dict(df.dtypes)[column])
     inside = c.between(F.lit(bounds.low), F.lit(bounds.high))
     if keep_null:
         return df.where(inside | c.isNull())

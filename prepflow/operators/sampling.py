@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prepflow.functions.scalars import stable_hash
+from prepflow.functions.scalars import stable_hash, wide_hash
 from prepflow.operators.aggregate import value_counts
 from prepflow.operators.joins import lookup_join
 from prepflow.operators.ranking import number_rows
@@ -89,7 +89,7 @@ def resample(df: DataFrame, label: str, key: str, mode: str, seed: int = 12345)
     draws = lookup_join(draws, classes, "class_no").select(
         F.col(label),
         "draw",
-        (stable_hash(F.lit(seed), F.col(label), F.col("draw")) % F.col("_class_size")).alias("position"),
+        (wide_hash(F.lit(seed), F.col(label), F.col("draw")) % F.col("_class_size")).alias("position"),
         (F.col("draw") % F.col("_copies")).alias("_copy"),
     )
     drawn = draws.join(rows, [label, "position", "_copy"])
@@ -114,8 +114,8 @@ def split_random(df: DataFrame, fraction: float = 0.8, seed: int = 12345) -> tup
 
 
 def train_flag(key: str, fraction: float = 0.8, seed: int = 12345):
-    """True for about ``fraction`` of the keys (whole percents), always the same ones."""
-    return stable_hash(F.lit(seed), F.col(key)) % 100 < F.lit(round(fraction * 100))
+    """True for about ``fraction`` of the keys (exact to 2^-60), always the same ones."""
+    return wide_hash(F.lit(seed), F.col(key)) < F.lit(int(fraction * (1 << 60)))
 
 
 def split_hash(df: DataFrame, key: str, fraction: float = 0.8, seed: int = 12345) -> tuple[DataFrame, DataFrame]:

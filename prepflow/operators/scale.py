@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prepflow.functions.scalars import missing_as_null
+
 
 @dataclass(frozen=True)
 class FittedScaler:
@@ -27,17 +29,18 @@ class FittedScaler:
 
 
 def fit_scaler(df: DataFrame, columns: list[str], center: bool, ddof: int) -> FittedScaler:
-    """Mean and deviation per column; ``ddof`` 1 is the sample, 0 the population form."""
+    """Mean and deviation per column, NaN left out; ``ddof`` 1 is the sample, 0 the population form."""
+    kinds = dict(df.dtypes)
     spread = F.stddev_samp if ddof == 1 else F.stddev_pop
-    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("dev", spread))]).first()
+    row = df.agg(*[f(missing_as_null(c, kinds[c])).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("dev", spread))]).first()
     return FittedScaler({c: row[f"mean_{c}"] for c in columns}, {c: row[f"dev_{c}"] for c in columns}, center)
 
 
 def apply_scaler(df: DataFrame, fitted: FittedScaler) -> DataFrame:
-    """Scaled columns in place. A constant column becomes 0 in both forms."""
-    out = {}
+    """Scaled columns in place, NaN as null. A constant column becomes 0 in both forms."""
+    out, kinds = {}, dict(df.dtypes)
     for c, dev in fitted.deviations.items():
-        value = F.col(c).cast("double")
+        value = missing_as_null(c, kinds[c]).cast("double")
         if fitted.center:
             out[c] = (value - F.lit(fitted.means[c])) / F.lit(dev or 1.0)
         else:

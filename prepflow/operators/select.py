@@ -37,7 +37,10 @@ def chi_square_stats(df: DataFrame, features: list[str], label: str) -> DataFram
 
 
 def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """One-way F statistic of each feature across the label's classes, from one scan."""
+    """One-way F statistic of each feature across the label's classes, from one scan.
+
+    Infinite where the classes part perfectly, 0 for a constant or single-class feature.
+    """
     stats = [f(c).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))]
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(*stats)
     rows = F.array(
@@ -59,7 +62,10 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
             F.count(F.lit(1)).alias("k"),
         )
     )
-    f = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("total") - F.col("k")))
+    ratio = F.try_divide(
+        F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("total") - F.col("k"))
+    )
+    f = F.when((F.col("within") == 0) & (F.col("between") > 0), F.lit(float("inf"))).otherwise(F.coalesce(ratio, F.lit(0.0)))
     return sums.select("column_name", f.alias("f_value"))
 
 
