@@ -82,7 +82,7 @@ def pack(records: list[tuple[str, bytes]]) -> bytes:
         at += len(data)
     with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
         z.writestr(INDEX, "".join(lines))
-        with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=at >= 1 << 31) as f:
+        with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=at > zipfile.ZIP64_LIMIT) as f:
             for _, data in records:
                 f.write(data)
     return out.getvalue()
