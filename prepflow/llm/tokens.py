@@ -43,7 +43,7 @@ class Encoder(dict):
     many at a time; the ids that end a word part them again. Other pieces go one by one.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 500_000):
+    def __init__(self, path: str, end_id: int, limit: int = 400_000, most_words: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,7 +52,7 @@ class Encoder(dict):
         self.end = np.array([end_id], self.dtype).tobytes()
         self.ends_word = np.zeros(self.vocabulary, dtype=bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.limit, self.cores = limit, {}
+        self.limit, self.most_words, self.cores = limit, most_words, {}
 
     def __missing__(self, piece: str) -> bytes:
         core = piece.rstrip(TAIL)
@@ -72,7 +72,7 @@ class Encoder(dict):
     def learn(self, pieces: set[str]) -> None:
         """Encodes the new words among ``pieces`` together."""
         new = {c.lower() for c in (p.rstrip(TAIL) for p in pieces) if is_word(c)}.difference(self.cores) if pieces else ()
-        words = sorted(new)
+        words = list(new)
         joined = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
         for i, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
@@ -87,6 +87,7 @@ class Encoder(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > self.limit:
             self.clear()
+        if len(self.cores) > self.most_words:
             self.cores.clear()
         split = [t.replace("\n", " ").split(" ") for t in texts]
         self.learn(set().union(*split).difference(self))
@@ -181,7 +182,7 @@ def compress(ids: np.ndarray, doc_tokens: np.ndarray, vocabulary: int, rounds: i
         s[at] = made
         keep = np.ones(len(s), dtype=bool)
         keep[at + 1] = False
-        ends = np.cumsum(keep)[ends] - 1
+        ends = ends - np.searchsorted(at + 1, ends, side="right")
         s = s[keep]
         rules += pairs
     lengths = np.ones(vocabulary + len(rules), np.int64)
