@@ -3,8 +3,10 @@
 Training vectors are grouped into cells around pivot vectors. A cell's radii give,
 for each query, an upper bound for the distance to its k-th neighbour and a lower
 bound for every cell (triangle inequality), so a query visits only cells that can
-hold a neighbour. Cells and queries are cut into blocks of bounded size; a task
-meets one block of each and returns at most k neighbours per query.
+hold a neighbour. A cell's rows and its visitors are cut into blocks of bounded size;
+a task meets one block of each and returns at most k neighbours per query. A training
+row is copied once for each block of visitors of its own cell, and not at all when
+nobody visits the cell.
 
 The idea follows Lu, Shen, Chen and Ooi, "Efficient processing of k nearest
 neighbor joins using MapReduce", PVLDB 2012.
@@ -22,45 +24,86 @@ from pyspark.sql import functions as F
 from prepflow.functions.scalars import stable_hash
 from prepflow.sources.scratch import settle
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 BLOCK_ROWS = 20_000
 SLICE_ROWS = 256
-SLACK = 1e-9  # keeps rounding from closing a cell that ties with the bound
+PAIRS_AT_ONCE = 200_000
+TIE = 2e-9  # distances are compared after rounding to nine decimals
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By the expanded square: fast, and off by up to ``_rounding``."""
     squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _rounding(scale, dims: int):
+    """Bound of the error of ``_distances`` between vectors whose lengths add up to ``scale``."""
+    return 2.0 * np.sqrt(np.finfo(float).eps * (dims + 4)) * scale
+
+
+def _lengths(a: np.ndarray) -> np.ndarray:
+    return np.sqrt((a * a).sum(1))
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
+def _slices(rows: int):
+    return (slice(i, i + SLICE_ROWS) for i in range(0, rows, SLICE_ROWS))
+
+
+def _nearest(asked: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of asked, row of points, distance) of the ``k`` nearest points of each asked row.
+
+    Those that may be among them by the fast distance are measured again by the
+    differences of their coordinates. Equal distances go by the order of ``points``.
+    """
+    centre = points.mean(0)
+    fast = _distances(asked - centre, points - centre)
+    scale = _lengths(asked - centre) + _lengths(points - centre).max()
+    bound = np.partition(fast, k - 1, axis=1)[:, k - 1] + 2 * _rounding(scale, points.shape[1]) + TIE
+    q, p = np.nonzero(fast <= bound[:, None])
+    exact = np.concatenate(
+        [_lengths(asked[q[i : i + PAIRS_AT_ONCE]] - points[p[i : i + PAIRS_AT_ONCE]]) for i in range(0, len(q), PAIRS_AT_ONCE)]
+    ).round(9)
+    order = np.lexsort((p, exact, q))
+    q, p, exact = q[order], p[order], exact[order]
+    first = np.searchsorted(q, q)
+    best = np.arange(len(q)) - first < k
+    return q[best], p[best], exact[best]
+
+
 def nearest_neighbours(
     train: DataFrame, queries: DataFrame, key: str, vector: str, label: str, k: int = 5, skip_self: bool = False
 ) -> DataFrame:
     """The ``k`` nearest training rows of each query row: query key, neighbour key,
-    its label, distance and rank. Ties go to the smaller neighbour key.
+    its label, distance and rank. Distances that agree to nine decimals tie, and ties
+    go to the smaller neighbour key.
 
-    With ``skip_self`` a row is not its own neighbour.
+    With ``skip_self`` a row is not its own neighbour. Rows with a null vector are
+    nobody's neighbours and have none.
     """
     need = k + int(skip_self)
-    points = train.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label"))
-    asked = queries.select(F.col(key).alias("q"), F.col(vector).alias("v"))
-    n_train, n_asked = points.count(), asked.count()
-    n_pivots = max(1, min(math.isqrt(n_train), MAX_PIVOTS))
+    points = train.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label")).where("v IS NOT NULL")
+    asked = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).where("v IS NOT NULL")
+    n_pivots = max(1, min(math.isqrt(points.count()), MAX_PIVOTS))
     rows = points.select("v", stable_hash(F.col("id")).alias("h"), "id").orderBy("h", "id").limit(n_pivots).collect()
     if not rows:
         return _ranked(asked.sparkSession.createDataFrame([], _found_schema(points, asked)), k)
     pivots = np.array([r.v for r in rows], dtype="float64")
+    centre = pivots.mean(0)
+    pivots -= centre
+    reach_of_pivots, dims = _lengths(pivots).max(), pivots.shape[1]
 
     def to_cells(batches):
         for pdf in batches:
             if len(pdf):
-                d = _distances(_matrix(pdf["v"]), pivots)
-                pdf["cell"] = d.argmin(1)
-                pdf["radius"] = d.min(1)
+                v = _matrix(pdf["v"]) - centre
+                d = [_distances(v[s], pivots) for s in _slices(len(v))]
+                pdf["cell"] = np.concatenate([x.argmin(1) for x in d])
+                pdf["radius"] = np.concatenate([x.min(1) for x in d])
                 yield pdf
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
@@ -69,36 +112,39 @@ def nearest_neighbours(
         F.min("radius").alias("near"), F.max("radius").alias("far"), F.count(F.lit(1)).alias("n")
     ).orderBy("cell").toPandas()
     ids, near, far, sizes = (cells[c].to_numpy() for c in ("cell", "near", "far", "n"))
-    blocks = np.ceil(sizes / BLOCK_ROWS).astype("int64")
+
+    def open_cells(v):
+        d = _distances(v, pivots[ids])
+        reach = d + far
+        order = reach.argsort(1)
+        enough = sizes[order].cumsum(1) >= need
+        at = np.where(enough.any(1), enough.argmax(1), len(ids) - 1)
+        bound = np.take_along_axis(reach, order, 1)[np.arange(len(d)), at]
+        least = np.maximum(np.maximum(d - far, near - d), 0.0)
+        # four measured distances take part in the comparison
+        slack = 4 * _rounding(_lengths(v) + 2 * reach_of_pivots + far.max(), dims) + TIE
+        return [ids[m].tolist() for m in least <= (bound + slack)[:, None]]
 
     def to_candidates(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            d = _distances(_matrix(pdf["v"]), pivots[ids])
-            reach = d + far
-            order = reach.argsort(1)
-            enough = sizes[order].cumsum(1) >= need
-            at = np.where(enough.any(1), enough.argmax(1), len(ids) - 1)
-            bound = np.take_along_axis(reach, order, 1)[np.arange(len(d)), at]
-            least = np.maximum(np.maximum(d - far, near - d), 0.0)
-            open_cells = least <= bound[:, None] + SLACK
-            pdf["cells"] = [ids[m].tolist() for m in open_cells]
-            yield pdf
+            if len(pdf):
+                v = _matrix(pdf["v"]) - centre
+                pdf["cells"] = [c for s in _slices(len(v)) for c in open_cells(v[s])]
+                yield pdf
 
     asked_fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema.fields)
-    visits = asked.mapInPandas(to_candidates, f"{asked_fields}, cells array<int>")
-
-    block_counts = F.array(*[F.lit(int(blocks[ids == c][0]) if c in ids else 1) for c in range(n_pivots)])
-    per_cell = F.element_at(block_counts, F.col("cell") + 1)
-    chunks = max(1, math.ceil(n_asked / BLOCK_ROWS))
-    left = placed.select(
-        "id", "v", "label", "cell", (stable_hash(F.col("id")) % per_cell).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))).alias("chunk"),
+    visits = settle(asked.mapInPandas(to_candidates, f"{asked_fields}, cells array<int>"), "knn-visits")
+    # one row for each cell: how many blocks its rows and its visitors are cut into
+    block_count = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("bigint")
+    visitors = visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("asking"))
+    plan = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).join(visitors, "cell")
+    plan = F.broadcast(settle(plan.select("cell", block_count("n").alias("blocks"), block_count("asking").alias("chunks")), "knn-plan"))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    left = placed.join(plan, "cell").select(
+        "id", "v", "label", "cell", F.pmod(stable_hash(F.col("id")), "blocks").alias("block"), numbers("chunks").alias("chunk")
     )
-    right = (
-        visits.select("q", "v", F.explode("cells").alias("cell"), (stable_hash(F.col("q")) % chunks).alias("chunk"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), per_cell.cast("bigint") - 1)))
+    right = visits.select("q", "v", F.explode("cells").alias("cell")).join(plan, "cell").select(
+        "q", "v", "cell", F.pmod(stable_hash(F.col("q")), "chunks").alias("chunk"), numbers("blocks").alias("block")
     )
 
     def meet(block: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
@@ -106,21 +152,10 @@ def nearest_neighbours(
         if len(block) and len(some):
             block = block.sort_values("id")
             t, ids_, labels = _matrix(block["v"]), block["id"].to_numpy(), block["label"].to_numpy()
-            take = min(need, len(block))
-            for start in range(0, len(some), SLICE_ROWS):
-                part = some.iloc[start : start + SLICE_ROWS]
-                d = np.round(_distances(_matrix(part["v"]), t), 9)
-                best = d.argsort(1, kind="stable")[:, :take]
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "q": np.repeat(part["q"].to_numpy(), take),
-                            "id": ids_[best].ravel(),
-                            "label": labels[best].ravel(),
-                            "distance": np.take_along_axis(d, best, 1).ravel(),
-                        }
-                    )
-                )
+            wanted, asking = _matrix(some["v"]), some["q"].to_numpy()
+            for s in _slices(len(some)):
+                q, p, distance = _nearest(wanted[s], t, min(need, len(t)))
+                found.append(pd.DataFrame({"q": asking[s][q], "id": ids_[p], "label": labels[p], "distance": distance}))
         return pd.concat(found) if found else pd.DataFrame({"q": [], "id": [], "label": [], "distance": []})
 
     place = ["cell", "block", "chunk"]

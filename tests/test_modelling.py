@@ -144,6 +144,20 @@ def test_neighbours_of_one_heavy_point(spark, monkeypatch):
     assert bag(near, "q", "id", "rank") == brute(rows, [(i, v) for i, v, _ in rows], 3, True)
 
 
+@pytest.mark.parametrize("offset", [1e6, 1e7])
+def test_neighbours_far_from_the_origin(spark, offset):
+    rows = [(i, [x + offset for x in v], y) for i, v, y in vectors(300, 6, 3, 0.0)]
+    train = spark.createDataFrame(rows, "id bigint, v array<double>, y int")
+    near = knn.nearest_neighbours(train, train, "id", "v", "y", 5, skip_self=True)
+    assert bag(near, "q", "id", "rank") == brute(rows, [(i, v) for i, v, _ in rows], 5, True)
+
+
+def test_null_vectors_have_no_neighbours(spark):
+    train = spark.createDataFrame([(1, [0.0], 7), (2, None, 8), (3, [5.0], 9)], "id bigint, v array<double>, y int")
+    near = knn.nearest_neighbours(train, train, "id", "v", "y", 2)
+    assert bag(near, "q", "id") == [(1, 1), (1, 3), (3, 1), (3, 3)]
+
+
 def test_fewer_training_rows_than_neighbours(spark):
     train = spark.createDataFrame([(1, [0.0], 7), (2, [1.0], 8)], "id bigint, v array<double>, y int")
     asked = spark.createDataFrame([(9, [0.1])], "id bigint, v array<double>")
