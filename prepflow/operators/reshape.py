@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,12 +79,23 @@ def pivot_mean(
 
 
 def pivot_two_keys(
-    df: DataFrame, index: list[str], first: str, second: str, measures: list[str], fill: float | None = 0.0
+    df: DataFrame, index: list[str], first: str, second: str, measures: list[str], fill: float | None = 0.0, firsts: list | None = None
 ) -> DataFrame:
-    """Pivot over the pairs of two columns; cells are named ``first-second-measure``."""
-    pairs = ["-".join(map(str, p)) for p in all_values(df, first, second)]
-    joined = df.withColumn("_pair", F.concat_ws("-", F.col(first).cast("string"), F.col(second).cast("string")))
-    return pivot_mean(joined, index, "_pair", pairs, measures, lambda v, m: f"{v}-{m}", fill)
+    """Pivot over the pairs of two columns of any type; cells are named ``first-second-measure``.
+
+    Only pairs that occur get columns, or, with ``firsts``, each of these values beside
+    each value of ``second``, so that the columns don't depend on gaps in the data. Rows
+    with a null in either column are left out. Where two pairs would have one name, texts
+    are written in quotes. There are at most ``MAX_COLUMNS`` pairs, so they are broadcast.
+    """
+    pairs = all_values(df, first, second) if firsts is None else [(a, b) for a in firsts for (b,) in all_values(df, second)]
+    plain = ["-".join(str(v).lower() if isinstance(v, bool) else str(v) for v in p) for p in pairs]
+    times = Counter(plain)
+    names = [n if times[n] == 1 else "-".join(map(repr, p)) for n, p in zip(plain, pairs, strict=True)]
+    kinds = df.select(first, second).schema.add("_pair", "integer")
+    coded = df.sparkSession.createDataFrame([(*p, i) for i, p in enumerate(pairs)], kinds)
+    joined = df.join(F.broadcast(coded), [first, second])
+    return pivot_mean(joined, index, "_pair", list(range(len(pairs))), measures, lambda i, m: f"{names[i]}-{m}", fill)
 
 
 def pivot_periods(

@@ -39,20 +39,27 @@ def monthly_transpose(
     running_months: int,
     loan_months: int,
     second_key: str | None = None,
+    running_second_key: str | None = None,
 ) -> MonthlyTables:
     """Running-account means per month beside loan means per month and measure.
 
-    ``M1`` is each table's own latest month. With ``second_key`` the loans are
-    spread over month and that column together (``M1-<value>-<measure>``). The merged table keeps every key of
+    ``M1`` is each table's own latest month. With ``second_key`` the loans, and with
+    ``running_second_key`` the running accounts, are spread over month and that column
+    together (``M1-<value>-<measure>``). All months asked for have columns, also where
+    the data has none. The merged table keeps every key of
     whichever table has more keys; the other one's columns are null where it has
     no such key. Both wide tables are written out before they are counted and
     joined, so each history is pivoted once.
     """
-    running_wide = settle(pivot_periods(running, key, period, [running_measure], running_months, name="{period}"), "running")
-    if second_key is None:
-        loan_wide = pivot_periods(loans, key, period, loan_measures, loan_months, name="{period}-{measure}")
-    else:
-        loan_wide = pivot_two_keys(keep_recent(loans, period, loan_months), [key], period, second_key, loan_measures)
+
+    def spread(df, measures, n, second, name):
+        if second is None:
+            return pivot_periods(df, key, period, measures, n, name=name)
+        months = [f"M{i + 1}" for i in range(n)]
+        return pivot_two_keys(keep_recent(df, period, n), [key], period, second, measures, firsts=months)
+
+    running_wide = settle(spread(running, [running_measure], running_months, running_second_key, "{period}"), "running")
+    loan_wide = spread(loans, loan_measures, loan_months, second_key, "{period}-{measure}")
     loan_wide = settle(cast_columns(loan_wide, {key: "bigint"}), "loans")
     labels = latest_period_labels(running, period, running_months).select(F.col("label").alias("Month_label"))
     return MonthlyTables(join_keep_larger(running_wide, loan_wide, key), running_wide, labels)

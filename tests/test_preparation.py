@@ -101,6 +101,24 @@ def test_monthly_transpose_with_two_pivot_keys(spark):
     assert bag(out.merged, "k", "M1", "M1-y-w", "M2-x-w") == [(1, 10.0, 0.0, 1.0), (2, None, 2.0, 0.0)]
 
 
+def test_two_key_pivot_of_any_type(spark):
+    df = spark.createDataFrame([(1, True, 1e-5, 3.0), (1, False, 1e-5, 5.0), (2, True, None, 9.0)], "k int, m boolean, t double, v double")
+    out = reshape.pivot_two_keys(df, ["k"], "m", "t", ["v"])
+    assert bag(out, "k", "`false-1e-05-v`", "`true-1e-05-v`") == [(1, 5.0, 3.0)]
+    texts = spark.createDataFrame([(1, "a-b", "c", 3.0), (1, "a", "b-c", 5.0)], "k int, m string, t string, v double")
+    out = reshape.pivot_two_keys(texts, ["k"], "m", "t", ["v"]).first().asDict()
+    assert out == {"k": 1, "'a'-'b-c'-v": 5.0, "'a-b'-'c'-v": 3.0}
+    assert reshape.pivot_two_keys(texts.limit(0), ["k"], "m", "t", ["v"]).collect() == []
+
+
+def test_monthly_transpose_with_two_keys_on_both_tables(spark):
+    running = spark.createDataFrame([(1, "2021-01", True, 10.0), (3, "2021-01", False, 4.0)], "k int, m string, s boolean, v double")
+    loans = spark.createDataFrame([(1, "2021-01", "x", 1.0)], "k int, m string, t string, w double")
+    out = monthly_transpose(running, loans, "k", "m", "v", ["w"], 2, 2, second_key="t", running_second_key="s")
+    assert set(out.merged.columns) == {"k", "M1-true-v", "M1-false-v", "M2-true-v", "M2-false-v", "M1-x-w", "M2-x-w"}
+    assert bag(out.merged, "k", "M1-true-v", "M2-true-v", "M1-x-w", "M2-x-w") == [(1, 10.0, 0.0, 1.0, 0.0), (3, 0.0, 0.0, None, None)]
+
+
 def test_multi_output_transpose(spark):
     inputs = spark.createDataFrame(
         [(1, 1, "x", "p1", 2.0, "red", None), (1, 2, "y", "p2", 4.0, None, "s"), (2, 1, "z", "p1", 6.0, "blue", "t"), (3, 1, "w", "p1", 1.0, "red", "t")],
