@@ -90,16 +90,27 @@ def neighbours(reach: int) -> F.Column:
 
 
 def disclosing_terms(mentions: DataFrame, docs: DataFrame, threshold: float, support: int, most_broadcast: int = 500_000) -> DataFrame:
-    """(entity, term) pairs that tell too much. ``mentions``: entity, context, term, one row for each neighbour.
+    """(entity, term) pairs that tell too much. ``mentions``: doc_id, text_hash, entity,
+    context, term, one row for each neighbour.
 
     n(t,e) and n(e) count different contexts, so that exact copies are no evidence; n(t)
-    counts all documents. Rare terms are looked up in all documents through a broadcast
+    counts all documents. It is at least the number of documents with the term beside any
+    identifier, and pairs that tell too little even then are left out before all documents
+    are searched. The other terms are looked up in all documents through a broadcast
     when their number is at most ``most_broadcast``, else by a join of the counts.
     """
     total = docs.count()
+
+    def share(n_t: str) -> F.Column:
+        told = F.log2(F.lit(float(total)) * F.col("n_te") / (F.greatest(n_t, "n_te") * F.col("n_e")))
+        bits = F.log2(F.lit(float(total)) / F.least(F.col("n_e").cast("double"), F.lit(float(total))))
+        return F.when(bits > 0, told / bits).otherwise(F.lit(0.0))
+
     of_entity = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_e"))
+    of_term = mentions.groupBy("term").agg(F.countDistinct(F.struct("doc_id", "text_hash")).alias("n_near"))
     together = mentions.groupBy("entity", "term").agg(F.countDistinct("context").alias("n_te")).where(F.col("n_te") >= support)
-    together = settle(together.join(of_entity, "entity").withColumn("h", F.xxhash64("term")), "pii-terms")
+    together = together.join(of_entity, "entity").join(of_term, "term").where(share("n_near") >= threshold - 1e-9)
+    together = settle(together.withColumn("h", F.xxhash64("term")), "pii-terms")
     wanted = settle(together.select("h").distinct(), "pii-wanted")
     words = docs.select(F.explode_outer(F.array_distinct(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(plain(w))))).alias("h"))
     if (n := wanted.count()) == 0:
@@ -107,10 +118,7 @@ def disclosing_terms(mentions: DataFrame, docs: DataFrame, threshold: float, sup
     if n <= most_broadcast:
         words = words.join(F.broadcast(wanted), "h", "left_semi")
     seen = words.groupBy("h").agg(F.count("*").alias("n_t"))
-    told = F.log2(F.lit(float(total)) * F.col("n_te") / (F.greatest("n_t", "n_te") * F.col("n_e")))
-    bits = F.log2(F.lit(float(total)) / F.least(F.col("n_e").cast("double"), F.lit(float(total))))
-    share = F.when(bits > 0, told / bits).otherwise(F.lit(0.0))
-    return together.join(seen, "h").select("entity", "term", share.alias("told")).where(F.col("told") >= threshold)
+    return together.join(seen, "h").select("entity", "term", share("n_t").alias("told")).where(F.col("told") >= threshold)
 
 
 def plain(word: F.Column) -> F.Column:
