@@ -196,7 +196,8 @@ def confusion_matrix(spark, folder):
 def prediction_pairs(spark, folder):
     """Actual and predicted label of the held-out rows."""
     df, flow, _ = _predictions(spark, folder, "l_returnflag", "DTC")
-    out, _ = flows.test(df, flow, "accuracy")
+    _, held_out = flows.split_rows(df, LINE_KEY, flow.fraction)
+    out = flows.predict(held_out, flow)
     return metrics.prediction_pairs(out, LINE_KEY, "_label", "prediction").withColumnRenamed("_label", "actual")
 
 
@@ -278,12 +279,7 @@ def test_single_output(spark, folder):
 
 @query("test_multioutput")
 def test_multioutput(spark, folder):
-    """Accuracy and confusion counts per output on the held-out split."""
+    """Accuracy and the full confusion matrix of each output on the held-out split."""
     _, held_out, features, fitted = _multi(spark, folder)
     out = models.predict_multioutput(features.transform(held_out), fitted, [*LINE_KEY, *_Y])
-    parts = None
-    for y in _Y:
-        counts = metrics.confusion_counts(out, y, f"{y}_predicted")
-        part = counts.select(F.lit(y).alias("output"), "actual", "predicted", "count")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    return metrics.output_report(out, {y: (y, f"{y}_predicted") for y in _Y})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,11 +74,18 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, actual: str, predicted: str, metric: str) -> float:
-    """One metric by name."""
+def evaluate(df: DataFrame, actual: str, predicted: str, metric: str, **options) -> float:
+    """One metric by name.
+
+    Names that neither of the two tables above has (weightedFMeasure, the true and false
+    positive rates, the forms by label, logLoss) go to MLlib's evaluator, with its options
+    such as ``metricLabel`` or ``beta``. An unknown name is an error there.
+    """
     if metric in ("rmse", "mse", "mae", "r2", "var"):
         return regression_metrics(df, actual, predicted).select(metric).first()[0]
-    return classification_metrics(df, actual, predicted).select(metric).first()[0]
+    if metric in ("accuracy", "f1", "weightedPrecision", "weightedRecall", "hammingLoss"):
+        return classification_metrics(df, actual, predicted).select(metric).first()[0]
+    return MulticlassClassificationEvaluator(labelCol=actual, predictionCol=predicted, metricName=metric, **options).evaluate(df)
 
 
 def accuracy_per_output(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
@@ -87,5 +95,24 @@ def accuracy_per_output(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> Dat
     )
 
 
+def output_report(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """output, actual, predicted, count, accuracy: the whole matrix of each output, zeros filled.
+
+    ``pairs`` names the (actual, predicted) columns of each output; they have one type.
+    The rows are read once, and what follows works on their counts. A null is a class of
+    its own, and equals a predicted null.
+    """
+    sides = [F.struct(F.lit(n).alias("output"), F.col(a).alias("actual"), F.col(p).alias("predicted")) for n, (a, p) in pairs.items()]
+    counts = df.select(F.inline(F.array(*sides))).groupBy("output", "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+    counts = settle(counts, "outputs").alias("c")
+    right = F.when(F.expr("actual <=> predicted"), F.col("count")).otherwise(0)
+    quality = counts.groupBy("output").agg((F.sum(right) / F.sum("count")).alias("accuracy"))
+    classes = counts.select("output", F.explode(F.array("actual", "predicted")).alias("class")).distinct()
+    grid = classes.withColumnRenamed("class", "actual").join(classes.withColumnRenamed("class", "predicted"), "output").alias("g")
+    same = "g.output = c.output AND g.actual <=> c.actual AND g.predicted <=> c.predicted"
+    full = grid.join(counts, F.expr(same), "left").select("g.*", F.coalesce("count", F.lit(0)).alias("count"))
+    return full.join(quality, "output").select("output", "actual", "predicted", "count", "accuracy")
+
+
 def prediction_pairs(df: DataFrame, key: list[str], actual: str, predicted: str) -> DataFrame:
     return df.select(*key, actual, predicted)

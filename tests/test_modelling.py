@@ -92,6 +92,21 @@ def test_classification_metrics_equal_mllib(judged, name):
     assert metrics.evaluate(judged, "y", "p", name) == pytest.approx(theirs)
 
 
+@pytest.mark.parametrize("name, options", [("weightedFMeasure", {"beta": 2.0}), ("weightedFalsePositiveRate", {}), ("recallByLabel", {"metricLabel": 1.0})])
+def test_further_metrics_by_name(judged, name, options):
+    theirs = MulticlassClassificationEvaluator(labelCol="y", predictionCol="p", metricName=name, **options).evaluate(judged)
+    assert metrics.evaluate(judged, "y", "p", name, **options) == pytest.approx(theirs)
+
+
+def test_output_report_is_a_full_matrix(spark):
+    df = spark.createDataFrame([(1, 1, 0, 0), (1, 2, 0, None), (1, 1, None, None)], "a int, p int, b int, q int")
+    out = metrics.output_report(df, {"x": ("a", "p"), "y": ("b", "q")})
+    got = {tuple(r)[:4] for r in out.collect()}
+    assert got == {("x", 1, 1, 2), ("x", 1, 2, 1), ("x", 2, 1, 0), ("x", 2, 2, 0), ("y", 0, 0, 1), ("y", 0, None, 1), ("y", None, 0, 0), ("y", None, None, 1)}
+    assert {(r.output, round(r.accuracy, 3)) for r in out.collect()} == {("x", 0.667), ("y", 0.667)}
+    assert metrics.output_report(df.limit(0), {"x": ("a", "p")}).count() == 0
+
+
 @pytest.mark.parametrize("name", ["rmse", "mse", "mae", "r2", "var"])
 def test_regression_metrics_equal_mllib(judged, name):
     theirs = RegressionEvaluator(labelCol="y", predictionCol="p", metricName=name).evaluate(judged)
