@@ -221,6 +221,19 @@ def test_pii_terms_that_reveal_are_found_and_redacted(spark):
     assert out[2] == "note 2 alpha2 [TERM] wrote to [EMAIL] about f2 today" and out[12] == plain[2][1]
 
 
+def test_pii_terms_of_rare_identifiers_are_found_anywhere_in_the_text(spark):
+    """One text names an identifier, far from the name; exact copies are no evidence, common words tell nothing."""
+    far = "Quillon " + "the weather was fine that day " * 300 + "so call +49 30 1234567 \uffff now Quillon."
+    plain = [(10 + i, f"the weather was fine that day so call now matter{i % 50} {i}") for i in range(600)]
+    df = spark.createDataFrame([(1, far), (2, far), (None, far), (3, "Quillonia"), *plain], "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end, s.value) for s in r.spans if s.kind == "term"] for r in pii.sanitise(df).collect()}
+    last = far.rindex("Quillon")
+    want = [(0, 7, "Quillon"), (last, last + 7, "Quillon")]
+    assert found[1] == found[2] == found[None] == want and not any(v for k, v in found.items() if k not in (1, 2, None))
+    few = df.where("doc_id < 40")  # too few texts to tell a name from chance
+    assert not any(s.kind == "term" for r in pii.sanitise(few).collect() for s in r.spans)
+
+
 # ---- mixing ------------------------------------------------------------------------
 
 
