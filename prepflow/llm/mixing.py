@@ -2,13 +2,16 @@
 
 A classifier fitted on labelled documents gives each document a probability for every
 domain. Document rates r >= 0 are then fitted by projected gradient so that the expected
-tokens of each domain, sum(r n p), meet the targets. Each step needs only the domain
-sums (a few numbers); the rates are a formula of the steps so far, evaluated in place.
-DataFrame and SQL functions only.
+tokens of each domain, sum(r n p), meet the targets. The gradient steps from rate 1 add up
+to one number for each domain, so the rates are a short formula, evaluated in place, and
+each step needs only sums (a few numbers). DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -21,7 +24,7 @@ from .common import settle, texts, words_of
 
 #: Domains are (quality, toxic) classes of the label table; shares of the mixed tokens.
 TARGETS = {"good": 0.75, "poor": 0.17, "toxic": 0.08}
-MOST = 4.0  # the largest rate
+MOST = math.inf  # rates have no upper limit
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'poor' END"
 
 
@@ -58,56 +61,69 @@ def posteriors(docs: DataFrame, model: PipelineModel | None, n_domains: int, id_
     return d.select("doc_id", "text_hash", F.size("words").cast("double").alias("n_tokens"), p.alias("p"))
 
 
-def rate_sql(steps: list[tuple[list[float], float]]) -> str:
-    """The rate after ``steps`` of accelerated projected gradient, as SQL over ``p``.
+def rate_sql(step: list[float]) -> str:
+    """The rate after the summed gradient ``step`` from rate 1, projected to nonnegative rates, as SQL over ``p``."""
+    return "greatest(0.0D, 1.0D" + "".join(f" + p[{k}] * {float(x)!r}D" for k, x in enumerate(step)) + ")"
 
-    Step t has the gradient's domain coefficients g and the momentum m:
-    r(t+1) = y - p.g, cut to 0 .. MOST, y(t+1) = r(t+1) + m (r(t+1) - r(t)).
-    """
-    if not steps:
-        return "named_struct('r', 1.0D, 'y', 1.0D)"
-    rows = ", ".join(
-        "named_struct('g', array(" + ", ".join(f"{x!r}D" for x in g) + f"), 'm', {m!r}D)" for g, m in steps
-    )
-    dot = " + ".join(f"p[{k}] * s.g[{k}]" for k in range(len(steps[0][0])))
-    new = f"least({MOST!r}D, greatest(0.0D, a.y - ({dot})))"
-    return (
-        f"aggregate(array({rows}), named_struct('r', 1.0D, 'y', 1.0D), "
-        f"(a, s) -> named_struct('r', {new}, 'y', {new} + s.m * ({new} - a.r)))"
-    )
-
-
-def fit_rates(weighted: DataFrame, targets: list[float], rounds: int = 15, tolerance: float = 5e-3) -> tuple[str, list[float]]:
+
+def fit_rates(weighted: DataFrame, targets: list[float], rounds: int = 200, tolerance: float = 5e-3, pull: float = 1e-6) -> tuple[str, list[float]]:
     """SQL for each document's rate, and the domain totals it gives.
 
-    ``weighted`` has n_tokens and p. Minimises (S - T)' G^-1 (S - T) over 0 <= r <= MOST, with S the
-    domain totals, T the targets and G = sum(n p p') / sum(n): least squares in which each
-    direction of the domain space counts alike, so similar domains don't slow the descent.
-    In the metric of the token counts the step 1 / (all tokens) never overshoots. Starting
-    from rate 1, the rates stay as near to the present mixture as the targets allow. Each
-    round is one scan with two sums for each domain.
+    ``weighted`` has n_tokens and p. Minimises (S - T)' G^-1 (S - T) + ``pull`` * sum(n (r - 1)^2) over r >= 0,
+    in shares of all tokens, with S the domain totals, T the targets and G = sum(n p p') / sum(n): least squares in
+    which each direction of the domain space counts alike, and of equal totals those rates that
+    stay nearest to the present mixture. The optimum has the rates max(0, 1 + p.x), and x is
+    found by gradient steps on the dual problem in the metric of the documents with positive rates,
+    halved until they descend; that problem is strictly convex, so a vanishing gradient proves the optimum.
+
+    Ends when every total is within ``tolerance`` of its own target (or 1e-9 of all tokens), or
+    when the optimum is reached; a RuntimeError if neither is so after ``rounds`` scans. A
+    warning names the targets that the optimum misses. Each round is one scan for a few sums.
     """
     k = len(targets)
     total = weighted.agg(F.sum("n_tokens")).first()[0] or 0.0
-    steps: list[tuple[list[float], float]] = []
     if not total:
-        return f"{rate_sql(steps)}.r", [0.0] * k
-    pairs = [(i, j) for i in range(k) for j in range(k)]
-    gram = weighted.agg(*[F.sum(F.expr(f"n_tokens * p[{i}] * p[{j}]")).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    inverse = np.linalg.pinv(np.array([gram[f"g{i}_{j}"] for i, j in pairs]).reshape(k, k) / total, rcond=1e-6, hermitian=True)
-    momentum, sums = 1.0, []
-    for done in range(rounds + 1):
-        state = weighted.select("n_tokens", "p", F.expr(rate_sql(steps)).alias("s"))
-        parts = [F.sum(F.expr(f"n_tokens * s.{v} * p[{i}]")).alias(f"{v}{i}") for v in "ry" for i in range(k)]
-        row = state.agg(*parts).first()
-        sums = [row[f"r{i}"] for i in range(k)]
-        if done == rounds or max(abs(x - t) for x, t in zip(sums, targets, strict=True)) <= tolerance * total:
+        return rate_sql([0.0] * k), [0.0] * k
+    goal = np.array(targets, dtype=float) / total
+    limit = np.maximum(tolerance * goal, 1e-9)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def scan(x):
+        """Half the sum of squared rates, the domain shares, and the Gram matrix of the documents with positive rates."""
+        state = weighted.select("n_tokens", "p", F.expr(rate_sql(x)).alias("r"))
+        parts = [F.sum(F.expr("n_tokens * r * r / 2")).alias("half"), *[F.sum(F.expr(f"n_tokens * r * p[{i}]")).alias(f"s{i}") for i in range(k)]]
+        parts += [F.sum(F.expr(f"CASE WHEN r > 0 THEN n_tokens * p[{i}] * p[{j}] ELSE 0.0D END")).alias(f"g{i}_{j}") for i, j in pairs]
+        row, gram = state.agg(*parts).first(), np.zeros((k, k))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] / total
+        return row["half"] / total, np.array([row[f"s{i}"] for i in range(k)]) / total, gram
+
+    x, done = np.zeros(k), 1
+    half, sums, gram = scan(x)
+    whole = gram  # at rate 1 all documents have positive rates
+    inside = whole @ np.linalg.pinv(whole, rcond=1e-9, hermitian=True)  # directions that totals can take
+    while True:
+        gradient = inside @ (sums - goal + pull * whole @ x)
+        if (met := bool(np.all(np.abs(sums - goal) <= limit))) or np.all(np.abs(gradient) <= np.maximum(0.01 * limit, 1e-8)):
             break
-        gradient = (inverse @ [(row[f"y{i}"] - targets[i]) / total for i in range(k)]).tolist()
-        following = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
-        steps.append((gradient, (momentum - 1) / following))
-        momentum = following
-    return f"({rate_sql(steps)}).r", sums
+        value = half - goal @ inside @ x + pull * x @ whole @ x / 2
+        step = -inside @ np.linalg.pinv(gram + pull * whole, rcond=1e-13, hermitian=True) @ gradient
+        size = 1.0
+        while True:
+            if done == rounds:
+                raise RuntimeError(f"rates didn't settle in {rounds} scans: shares {sums.tolist()} for the targets {goal.tolist()}")
+            half, sums, gram = scan(x + size * step)
+            done += 1
+            after = x + size * step
+            # near the optimum values differ by less than they are exact: there the slope decides
+            slope = (inside @ (sums - goal + pull * whole @ after)) @ step
+            if half - goal @ inside @ after + pull * after @ whole @ after / 2 <= value + 1e-4 * size * (gradient @ step) or abs(slope) <= 0.5 * abs(gradient @ step):
+                break
+            size /= 2
+        x = after
+    if not met:
+        warnings.warn(f"no rates meet the targets {goal.tolist()}; the nearest shares are {sums.tolist()}", stacklevel=2)
+    return rate_sql(x.tolist()), (sums * total).tolist()
 
 
 def rate_documents(
@@ -118,7 +134,8 @@ def rate_documents(
 
     ``targets`` are shares of the present number of tokens. ``copies`` rounds the rate up
     or down by a hash of key and text, with the right expectation. ``labelled`` holds the
-    texts of the labelled rows. Null and empty texts have no tokens, and the rate of their
+    texts of the labelled rows. Targets out of reach give a warning and the nearest totals, see
+    ``fit_rates``. Null and empty texts have no tokens, and the rate of their
     posterior; repeated rows get equal rates; an empty table gives an empty result.
     """
     names = list(targets)

@@ -254,6 +254,33 @@ def test_rates_meet_the_targets(spark):
     assert min(r.r for r in got) >= 0 and max(r.r for r in got) <= mixing.MOST
 
 
+def test_rates_meet_each_target_or_say_so(spark):
+    """Production arguments; a rare domain that needs a rate of about eight, and targets out of reach."""
+    rng = random.Random(8)
+    data = []
+    for i in range(1000):
+        c = 0.98 * rng.random() if i % 60 == 0 else 0.0005
+        a = rng.random()
+        data.append((float(rng.randrange(1, 400)), [a * (1 - c), (1 - a) * (1 - c), c]))
+    df = spark.createDataFrame(data, "n_tokens double, p array<double>")
+    total = sum(n for n, _ in data)
+    targets = [x * total for x in mixing.TARGETS.values()]
+    assert 4 * sum(n * p[2] for n, p in data) < targets[2]
+    rate, sums = mixing.fit_rates(df, targets)
+    got = df.withColumn("r", F.expr(rate)).collect()
+    for k in range(3):
+        assert abs(sum(r.r * r.n_tokens * r.p[k] for r in got) - targets[k]) <= 5e-3 * targets[k] + 1e-6 * total
+    assert min(r.r for r in got) >= 0 and max(r.r for r in got) > 4
+    flat = spark.createDataFrame([(10.0, [0.9, 0.1]), (10.0, [0.8, 0.2])], "n_tokens double, p array<double>")
+    with pytest.warns(UserWarning, match="no rates meet"):
+        rate, sums = mixing.fit_rates(flat, [0.0, 20.0])
+    assert all(r.r >= 0 for r in flat.select(F.expr(rate).alias("r")).collect())
+    inverse = np.linalg.inv(np.array([[0.725, 0.125], [0.125, 0.025]]))
+    worth = lambda s: (s - [0, 1]) @ inverse @ (s - [0, 1])
+    best = min(worth(np.array([0.9 * a + 0.8 * b, 0.1 * a + 0.2 * b])) for a in np.linspace(0, 4, 201) for b in np.linspace(0, 4, 201))
+    assert worth(np.array(sums) / 20) <= best + 1e-3
+
+
 def test_mixing_of_tables(spark, docs, awkward, empty):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     rated = mixing.rate_documents(docs, docs, labels)
