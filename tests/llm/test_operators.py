@@ -155,6 +155,22 @@ def test_long_lists_are_cut_into_blocks(spark):
     assert len(set(group.values())) == 1
 
 
+@pytest.mark.parametrize(("n", "t", "frequent", "block", "small"), [(3, "0.9", 32, 768, None), (5, "0.8", 3, 4, None), (1, "0.8", 4, 5, 14), (2, "0.8", 1, 3, 0)])
+def test_set_join_counts_every_link(spark, monkeypatch, n, t, frequent, block, small):
+    monkeypatch.setattr(set_join, "BLOCK", block)
+    if small is not None:
+        monkeypatch.setattr(set_join, "boundary", lambda *a, **k: small)
+    data = near_copies(11, size=18)
+    data += data[::7] + [(None, data[3][1]), (900, ""), (901, None)]
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in ((x or "").split() for _, x in data)]
+    want = collections.Counter()
+    for i, (key, _) in enumerate(data):
+        want[key, len(sets[i]), sum(1 for j, b in enumerate(sets) if i != j and sets[i] and b and len(sets[i] & b) >= Fraction(t) * len(sets[i] | b))] += 1
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    found = set_join.join_sets(df, n=n, threshold=t, least_frequent=frequent, with_links=True)
+    assert collections.Counter((r.doc_id, r.n_shingles, r.n_links) for r in found.collect()) == want
+
+
 # ---- license rules -----------------------------------------------------------------
 
 
