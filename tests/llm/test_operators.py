@@ -171,6 +171,23 @@ def test_set_join_counts_every_link(spark, monkeypatch, n, t, frequent, block, s
     assert collections.Counter((r.doc_id, r.n_shingles, r.n_links) for r in found.collect()) == want
 
 
+def test_near_copies_with_null_and_repeated_keys(spark):
+    """A class keeps one row, and a row without key still links its neighbours."""
+    import corpus_pipeline as cp
+
+    w = [f"w{i}" for i in range(60)]
+    chain = [" ".join(w[4 * k : 4 * k + 40]) for k in range(3)]  # only neighbours are similar enough
+    data = [(7, chain[0]), (None, chain[1]), (3, chain[2])]
+    data += [(None, "a b c d e f g h i j k l m n o p q r s t " + x) for x in ("u", "v", "x")]
+    data += [(20, "k1 k2 k3 k4 k5 k6 k7 k8 k9 l1 l2 l3 l4 l5 l6 l7 l8 l9 m1 m2 " + x) for x in ("u", "v", "x", "x")]
+    data += [(None, "alone without any key at all"), (None, ""), (30, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    found = collections.Counter(map(tuple, set_join.join_sets(df, n=5, threshold="0.8").drop("rid").collect()))
+    assert found == brute_classes(data, 5, Fraction("0.8"))
+    kept = [(r.doc_id, r.text) for r in cp.drop_near_copies(spark, df, FOLDER).collect()]
+    assert len(kept) == 6 and (3, chain[2]) in kept and [k for k, _ in kept].count(20) == 1 and sum((x or "").startswith("a b c") for _, x in kept) == 1
+
+
 # ---- license rules -----------------------------------------------------------------
 
 
