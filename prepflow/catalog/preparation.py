@@ -163,6 +163,7 @@ def _periods(spark, folder):
         missing_text="missing",
         output_period="bin",
         output_value="label",
+        known=tuple(_BINS),
     )
 
 

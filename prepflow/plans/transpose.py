@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -71,6 +72,14 @@ class PeriodTables:
     features: DataFrame
     labels: DataFrame
     codes: dict[str, DataFrame]
+    outputs: dict[str, object]  # the period of each OFN column; None where the data has too few
+
+
+def by_number(period) -> list:
+    """A sort key for periods that takes the numbers in a text as numbers: B2 before B10."""
+    if not isinstance(period, str):
+        return [period]
+    return [int(x) if i % 2 else x for i, x in enumerate(re.split(r"((?<![0-9])-?[0-9]+)", period))]
 
 
 def multi_output_transpose(
@@ -86,9 +95,14 @@ def multi_output_transpose(
     output_period: str,
     output_value: str,
     n_outputs: int = 6,
+    known: tuple = (),
 ) -> PeriodTables:
     """One row per key: static attributes, mean of each measure per period, and the
-    label of each of the first ``n_outputs`` output periods as ``OFN1``, ``OFN2``, …
+    label of each output period as ``OFN1``, ``OFN2``, …
+
+    Periods are ordered by the numbers in them. Those in ``known`` come first and have
+    columns also where the data has none. All periods of the data have columns; with
+    fewer than ``n_outputs`` the remaining ``OFN`` columns are 0, as for absent cells.
 
     ``text_labels`` are filled and turned into codes, so they can be measures.
     The static attributes are those of the key's first row in ``order``.
@@ -99,13 +113,21 @@ def multi_output_transpose(
     for c in text_labels:
         codes[c] = fit_labels(filled, c)
         coded = apply_codes(coded, codes[c], c, f"_{c}_code").drop(c).withColumnRenamed(f"_{c}_code", c)
-    periods = [p for (p,) in all_values(filled, period)]
+    def periods_of(df, column):
+        return [*known, *sorted((p for (p,) in all_values(df, column) if p not in known), key=by_number)]
+
+    periods = periods_of(filled, period)
     wide = pivot_mean(coded, [key], period, periods, measures, lambda p, m: f"{p}_{m}", 0.0, gaps_of_absent=True)
 
-    out_periods = [p for (p,) in all_values(outputs, output_period)][:n_outputs]
+    out_periods = periods_of(outputs, output_period)
     names = {p: f"OFN{i + 1}" for i, p in enumerate(out_periods)}
     labels = pivot_mean(outputs, [key], output_period, out_periods, [output_value], lambda p, m: names[p], 0.0)
-    labels = labels.select(key, *[F.col(n).cast("int").try_cast("tinyint").alias(n) for n in names.values()])
+    spare = [f"OFN{i + 1}" for i in range(len(out_periods), n_outputs)]
+    labels = labels.select(
+        key, *[F.col(n).cast("int").try_cast("tinyint").alias(n) for n in names.values()], *[F.lit(0).cast("tinyint").alias(n) for n in spare]
+    )
 
     merged = join_inner([attributes, wide, labels], key)
-    return PeriodTables(merged, merged.drop(*names.values()), merged.select(key, *names.values()), codes)
+    ofn = [*names.values(), *spare]
+    shown = {n: p for p, n in names.items()} | dict.fromkeys(spare)
+    return PeriodTables(merged, merged.drop(*ofn), merged.select(key, *ofn), codes, shown)

@@ -133,6 +133,19 @@ def test_multi_output_transpose(spark):
     assert bag(out.codes["c1"]) == [("blue", 0), ("none", 1), ("red", 2)]
 
 
+def test_multi_output_transpose_keeps_and_pads_periods(spark):
+    inputs = spark.createDataFrame([(1, 1, "x", f"B{i}", float(i), "c") for i in range(12)], "k int, t int, attr string, p string, v double, c string")
+    outputs = inputs.select("k", "p", F.col("v").alias("y"))
+    arguments = ("k", ["t"], ["attr"], "p", ["v"], ["c"], "none", "p", "y")
+    out = multi_output_transpose(inputs, outputs, *arguments)
+    assert out.labels.columns == ["k", *[f"OFN{i + 1}" for i in range(12)]] and bag(out.labels) == [(1, *range(12))]
+    assert out.outputs == {f"OFN{i + 1}": f"B{i}" for i in range(12)} and out.features.columns[2:] == [f"B{i}_v" for i in range(12)]
+    few = multi_output_transpose(inputs, outputs.where("p IN ('B1', 'B10')"), *arguments, n_outputs=4)
+    assert bag(few.labels) == [(1, 1, 10, 0, 0)] and few.outputs["OFN3"] is None
+    gap = multi_output_transpose(inputs, outputs.where("p IN ('B1', 'B10')"), *arguments, n_outputs=2, known=("B0", "B1"))
+    assert bag(gap.labels) == [(1, 0, 1, 10)]
+
+
 # ---- cleaning ----------------------------------------------------------------
 
 
