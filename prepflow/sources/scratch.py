@@ -37,6 +37,21 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, survives lost executors, and gives Catalyst the true size,
     so that joins against it are broadcast exactly when it is small enough.
     """
+    return settle_at(df, label)[0]
+
+
+def settle_at(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """As ``settle``, in folders by the values of ``by``; also gives the path, for ``discard``."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes scratch tables whose frames are no longer used, before the application ends."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    made = _MADE.get(spark.sparkContext.applicationId, set())
+    for path in made.intersection(paths):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        made.discard(path)
