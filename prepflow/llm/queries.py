@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prepflow.catalog.registry import query
 
-from . import archives, decontaminate, licenses, mixing, pii, quality, set_join, substrings, tokens, toxicity
+from . import archives, decontaminate, licenses, mixing, pii, quality, set_join, substrings, tokens, toxicity, vector_codes
 from .common import table
 
 HELD_OUT = "crc32(cast(doc_id AS string)) % 5 = 0"
@@ -77,3 +77,8 @@ def op9_containment(spark: SparkSession, folder: str) -> DataFrame:
 def op10_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op13_resident_codes", vector_codes.compress_sql())
+def op13_resident_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
