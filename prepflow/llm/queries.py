@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prepflow.catalog.registry import query
 
-from . import archives, decontaminate, licenses, mixing, pii, quality, set_join, substrings, tokens, toxicity, vector_codes
+from . import archives, decontaminate, licenses, mixing, ngram_model, pii, quality, set_join, substrings, tokens, toxicity, vector_codes
 from .common import table
 
 HELD_OUT = "crc32(cast(doc_id AS string)) % 5 = 0"
@@ -79,6 +79,13 @@ def op10_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op12_ngram_trie")
+def op12_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = "crc32(cast(doc_id AS string)) % 10 = 0"
+    scores, _, n = ngram_model.fit_and_score(table(spark, folder, "documents"), f"NOT {held_out}")
+    return scores.select("doc_id", F.expr(held_out).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 @query("op13_resident_codes", vector_codes.compress_sql())
 def op13_resident_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings"))
