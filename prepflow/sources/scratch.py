@@ -48,10 +48,12 @@ def settle_at(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> tuple[Data
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
-    """Deletes scratch tables whose frames are no longer used, before the application ends."""
+    """Deletes scratch tables, or folders in them, whose frames are no longer used, before the application ends."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     made = _MADE.get(spark.sparkContext.applicationId, set())
-    for path in made.intersection(paths):
+    for path in paths:
+        if not any(path == m or path.startswith(m + "/") for m in made):
+            raise ValueError(f"{path} is no scratch table of this application")
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
         made.discard(path)
