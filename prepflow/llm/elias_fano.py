@@ -25,14 +25,51 @@ def select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return place
 
 
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique(keys, return_inverse=True)`` of unsigned integers; where key and place fit into one word, words are sorted."""
+    keys, n = keys.astype(U, copy=False), len(keys)
+    width = max(1, n - 1).bit_length()
+    if int(keys.max(initial=0)).bit_length() + width <= 64:
+        both = np.sort((keys << U(width)) | np.arange(n, dtype=U))
+        order, both = (both & bits(width)).astype(np.int64), both >> U(width)
+    else:
+        order = np.argsort(keys, kind="stable")
+        both = keys[order]
+    new = np.r_[True, both[1:] != both[:-1]][:n]
+    inverse = np.empty(n, np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return both[new], inverse
+
+
 class EliasFano:
     """A view of ``encode``'s three arrays: (n, low width, highest upper part), the low bits, the upper bits in unary."""
 
     def __init__(self, head: np.ndarray, low: np.ndarray, high: np.ndarray):
         self.n, self.width, self.top = (int(x) for x in head)
         self.low, self.high = low, high
-        ones = np.bitwise_count(high).astype(np.int64)
-        self.ones, self.zeros = np.cumsum(ones), np.cumsum(64 - ones)
+        self.cache: dict[str, np.ndarray] = {}
+
+    def kept(self, name: str, make) -> np.ndarray:
+        if name not in self.cache:
+            self.cache[name] = make()
+        return self.cache[name]
+
+    def directory(self, zeros: bool) -> np.ndarray:
+        """Set (or unset) bits up to the end of each word of the upper part."""
+        return self.kept(f"directory {zeros}", lambda: np.cumsum(np.bitwise_count(~self.high if zeros else self.high), dtype=np.int64))
+
+    def places(self, zeros: bool) -> np.ndarray:
+        """All set (or unset) bits: the upper part unpacked, for batches about as large as the sequence."""
+        return self.kept(f"places {zeros}", lambda: np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") != zeros))
+
+    def select(self, k: np.ndarray, zeros: bool) -> np.ndarray:
+        """The place of the set (or unset) bit number ``k``."""
+        if len(k) * 16 > self.n:
+            return self.places(zeros)[k]
+        directory = self.directory(zeros)
+        word = np.searchsorted(directory, k, "right")
+        before = np.where(word > 0, directory[word - 1], 0)
+        return word * 64 + select_in_word(~self.high[word] if zeros else self.high[word], k - before)
 
     @staticmethod
     def encode(values: np.ndarray) -> list[np.ndarray]:
@@ -44,9 +81,11 @@ class EliasFano:
         if width:
             at = np.arange(n, dtype=U) * U(width)
             word, shift, part = (at >> U(6)).astype(np.int64), at & U(63), v & bits(width)
-            np.add.at(low, word, part << shift)  # fields don't overlap
-            over = shift + U(width) > U(64)
-            np.add.at(low, word[over] + 1, part[over] >> (U(64) - shift[over]))
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][:n])
+            if n:
+                low[word[first]] = np.add.reduceat(part << shift, first)  # fields don't overlap
+            over = shift + U(width) > U(64)  # at most one field of a word goes on into the next
+            low[word[over] + 1] |= part[over] >> (U(64) - shift[over])
         upper = (v >> U(width)).astype(np.int64)
         top = int(upper[-1]) if n else 0
         unary = np.zeros(-(-(n + top + 1) // 64) * 64, bool)
@@ -64,17 +103,13 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i`` (0 to n - 1)."""
         i = i.astype(np.int64)
-        word = np.searchsorted(self.ones, i, "right")
-        before = np.where(word > 0, self.ones[word - 1], 0)
-        place = word * 64 + select_in_word(self.high[word], i - before)
+        place = self.select(i, False)
         return ((place - i).astype(U) << U(self.width)) | self.lows(i)
 
     def up_to(self, upper: np.ndarray) -> np.ndarray:
         """How many values have an upper part of ``upper`` or less; -1 gives 0."""
         k = np.clip(upper, 0, self.top)
-        word = np.searchsorted(self.zeros, k, "right")
-        before = np.where(word > 0, self.zeros[word - 1], 0)
-        place = word * 64 + select_in_word(~self.high[word], k - before)
+        place = self.select(k, True)
         return np.where(upper < 0, 0, np.where(upper >= self.top, self.n, place - k))
 
     def bucket(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -89,23 +89,40 @@ def ask(chunks: DataFrame, entries) -> DataFrame:
     return chunks.select("chunk", "body").mapInArrow(run, ASK)
 
 
-def answer(asks: DataFrame, reply) -> DataFrame:
-    """``reply(shard, columns, sizes)`` answers all entries of a shard at once (``sizes`` parts them by chunk): it gives the
-    answer columns, the shard's dictionary as a cell, and a number. Rows: shard, chunk (null for the dictionary), body, number."""
+def answer(asks: DataFrame, reply, keep_levels: bool = True, stored: DataFrame | None = None) -> DataFrame:
+    """``reply(shard, columns, level)`` answers all entries of a shard at once: it gives the answer columns, the shard's
+    dictionary as a buffer (a new one where ``level`` is None, else the ``stored`` one) and its number of entries.
 
-    def run(key, pdf):
+    Rows: shard, chunk, body, number, level. Level 0 has an answer for each question, level 1 a dictionary for each shard
+    (an empty cell unless ``keep_levels``). A shard without a stored dictionary is answered from an empty one.
+    """
+
+    def run(key, pdf, held=None):
         import pandas as pd
 
         bodies = [expand(b) for b in pdf["body"]]
         sizes = [len(b[0]) for b in bodies]
-        columns, level, number = reply(int(key[0]), [np.concatenate(c) for c in zip(*bodies, strict=True)], sizes)
-        ends = np.cumsum(sizes).tolist()
-        cells = [squeeze([narrow(c[b - n : b]) for c in columns]) for n, b in zip(sizes, ends, strict=True)]
+        columns = [np.concatenate(c).astype(np.uint64) for c in zip(*bodies, strict=True)]
+        level = None
+        if held is not None and len(held):
+            level = held["body"].iloc[0]
+        elif held is not None:
+            level = reply(int(key[0]), [c[:0] for c in columns], None)[1]
+        if not columns:
+            return pd.DataFrame({c: [] for c in ("shard", "chunk", "body", "number", "level")})
+        columns, level, number = reply(int(key[0]), columns, level)
+        cells = [squeeze([narrow(c[b - n : b]) for c in columns]) for n, b in zip(sizes, np.cumsum(sizes).tolist(), strict=True)]
         return pd.DataFrame(
-            {"shard": [key[0]] * (len(cells) + 1), "chunk": pd.array([*pdf["chunk"], None], "Int64"), "body": [*cells, level], "number": [0] * len(cells) + [number]}
-        )
+            {
+                "shard": key[0], "chunk": pd.array([*pdf["chunk"], None], "Int64"), "body": [*cells, level if keep_levels else b""],
+                "number": [0] * len(cells) + [number], "level": [0] * len(cells) + [1],
+            }
+        )
 
-    return asks.groupBy("shard").applyInPandas(run, ASK + ", number long")
+    schema = ASK + ", number long, level int"
+    if stored is None:
+        return asks.groupBy("shard").applyInPandas(lambda key, pdf: run(key, pdf), schema)
+    return asks.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(run, schema)
 
 
 def merge(chunks: DataFrame, answers: DataFrame, join, schema: str) -> DataFrame:
@@ -115,5 +132,5 @@ def merge(chunks: DataFrame, answers: DataFrame, join, schema: str) -> DataFrame
         replies = [expand(b) for b in replies.sort_values("shard")["body"]]
         return join(int(key[0]), expand(state["body"].iloc[0]), [np.concatenate(c) for c in zip(*replies, strict=True)])
 
-    replies = answers.where("chunk IS NOT NULL").select("shard", "chunk", "body")
+    replies = answers.select("shard", "chunk", "body")
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(run, schema)

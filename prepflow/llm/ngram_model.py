@@ -17,6 +17,8 @@ probabilities of all words after a context sum to 1 (unknown words share one pla
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from prepflow.sources.scratch import discard, settle_at
 
 from .common import LOWER, WordIds, mixed, texts
-from .elias_fano import EliasFano
+from .elias_fano import EliasFano, distinct_keys
 from .exchange import CHUNK, answer, ask, chunk_name, expand, merge, narrow, pack, squeeze, view
 
 END, START = np.uint64(1), np.uint64(2)  # stand for the end of a text and the place before it
@@ -121,8 +123,8 @@ class Pairs:
 
     def place(self, h: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place of the context, place of the pair), -1 where absent."""
-        head = search(self.heads, self.words.find(h))
-        word = self.words.find(w)
+        word, (of_h, of_w) = numbers_of(self.words, [h, w])
+        head, word = search(self.heads, word)[of_h], word[of_w]
         pair = np.full(len(h), -1, np.int64)
         both = np.flatnonzero((head >= 0) & (word >= 0))
         pair[both] = self.successors.find(head[both].astype(U) * self.wide + word[both].astype(U))
@@ -134,6 +136,12 @@ class Pairs:
         return spans(self.counts, at), np.where(at >= 0, self.codes[np.maximum(at, 0)], MISS).astype(np.uint16) if len(self.codes) else np.full(len(at), MISS, np.uint16)
 
 
+def numbers_of(words: EliasFano, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(places of the distinct words of a batch, the index of each column's entries among them)."""
+    some, index = distinct_keys(np.concatenate(columns))
+    return words.find(some), np.split(index, np.cumsum([len(c) for c in columns])[:-1])
+
+
 def search(sequence: EliasFano, at: np.ndarray) -> np.ndarray:
     """``find`` that lets -1 stay."""
     out = np.full(len(at), -1, np.int64)
@@ -154,23 +162,24 @@ class Triples:
     @staticmethod
     def build(h2: np.ndarray, h1: np.ndarray, w: np.ndarray, p: np.ndarray) -> bytes:
         """Entries sorted by (h1, h2, w), distinct."""
-        words = np.unique(np.concatenate([h2, h1, w]))
-        wide = U(len(words))
-        heads, head = np.unique(h1, return_inverse=True)
+        words, index = distinct_keys(np.concatenate([h2, h1, w]))
+        wide, (early, middle, last) = U(len(words)), index.astype(U).reshape(3, -1)
+        heads, head = distinct_keys(middle)
         head = head.astype(U)
-        below = head * wide + np.searchsorted(words, w).astype(U)
-        successors = np.unique(below)
+        below = head * wide + last
+        successors, place = distinct_keys(below)
         starts = np.searchsorted(successors, np.arange(len(heads) + 1, dtype=U) * wide).astype(U)
-        contexts, context = np.unique(head * wide + np.searchsorted(words, h2).astype(U), return_inverse=True)
+        contexts, context = distinct_keys(head * wide + early)
         fan = np.diff(starts)[(contexts // wide).astype(np.int64)] if len(contexts) else np.zeros(0, U)
         bases = sums(fan)  # context number i owns the values from bases[i] to bases[i + 1] - 1
-        relative = np.searchsorted(successors, below).astype(U) - starts[head.astype(np.int64)]
-        return flat([words, np.searchsorted(words, heads).astype(U), starts, successors, contexts, bases, bases[context] + relative], [coded(p)])
+        relative = place.astype(U) - starts[head.astype(np.int64)]
+        return flat([words, heads, starts, successors, contexts, bases, bases[context] + relative], [coded(p)])
 
     def find(self, h2: np.ndarray, h1: np.ndarray, w: np.ndarray) -> np.ndarray:
         """The quantised probability of each triple; MISS where it is absent."""
         out = np.full(len(w), MISS, np.uint16)
-        head, early, last = search(self.heads, self.words.find(h1)), self.words.find(h2), self.words.find(w)
+        word, (of_h2, of_h1, of_w) = numbers_of(self.words, [h2, h1, w])
+        head, early, last = search(self.heads, word)[of_h1], word[of_h2], word[of_w]
         at = np.flatnonzero((head >= 0) & (early >= 0) & (last >= 0))
         under = head[at].astype(U) * self.wide
         context, successor = self.contexts.find(under + early[at].astype(U)), self.successors.find(under + last[at].astype(U))
@@ -187,7 +196,7 @@ class Triples:
 
 
 def read_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
-    """docs: doc_id, text, learn. Chunks of whole documents: doc_ids, whether null, learnt, lengths, words (sorted hashes), tokens (places in words)."""
+    """docs: doc_id, text, learn. Chunks of whole documents: doc_ids, whether null, learnt, lengths, words (sorted hashes; after the first level only the place of START), tokens (places in words)."""
 
     def run(batches):
         ids, keys, learnt, held, size, number = WordIds(), [], [], [], 0, 0
@@ -223,7 +232,7 @@ class Chunk:
         self.lengths, self.tokens = lengths.astype(np.int64), tokens.astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.weight = np.repeat(self.learnt, self.lengths).astype(np.int64)
-        self.start_word = int(np.searchsorted(self.words, START))
+        self.start_word = int(np.searchsorted(self.words, START)) if len(arrays) == 6 else int(self.words[0])
         if len(arrays) > 6:
             self.numbers, self.counts = (a.astype(U) for a in arrays[6:8])  # number 0: unknown
         if len(arrays) > 8:
@@ -237,8 +246,9 @@ class Chunk:
 
     def pairs(self):
         """(context word, word, learnt count) of the distinct pairs, and each token's pair."""
-        wide = len(self.words)
-        keys, pair = np.unique(self.before() * wide + self.tokens, return_inverse=True)
+        wide = len(self.numbers)
+        keys, pair = distinct_keys(self.before() * wide + self.tokens)
+        keys = keys.astype(np.int64)
         return keys // wide, keys % wide, np.bincount(pair, self.weight, len(keys)).astype(U), pair
 
     def triples(self, pair: np.ndarray, n_pairs: int):
@@ -246,7 +256,8 @@ class Chunk:
         inner = np.ones(len(self.tokens), bool)
         inner[self.starts] = False
         at = np.flatnonzero(inner)
-        keys, triple = np.unique(pair[at - 1] * n_pairs + pair[at], return_inverse=True)
+        keys, triple = distinct_keys(pair[at - 1] * n_pairs + pair[at])
+        keys = keys.astype(np.int64)
         return keys // max(1, n_pairs), keys % max(1, n_pairs), np.bincount(triple, self.weight[at], len(keys)).astype(U), triple, at
 
 
@@ -260,12 +271,17 @@ def word_questions(shards: int):
     return entries
 
 
+def by_shard(shard: np.ndarray, shards: int) -> np.ndarray:
+    """A stable order; narrow integers are sorted by radix."""
+    return np.argsort(shard.astype(np.uint16 if shards <= 1 << 16 else U), kind="stable")
+
+
 def pair_entries(c: Chunk, shards: int):
     """Shards of the pairs that can be known, the order by shard, and all pairs."""
     h, w, counts, pair = c.pairs()
     known = np.flatnonzero((c.numbers[h] > 0) & (c.numbers[w] > 0))
     shard = pair_shard(c.numbers[h[known]], c.numbers[w[known]], c.counts[h[known]], shards)
-    order = np.lexsort((c.numbers[w[known]], c.numbers[h[known]], shard))
+    order = by_shard(shard, shards)
     return shard[order], known[order], h, w, counts, pair
 
 
@@ -285,7 +301,7 @@ def triple_entries(c: Chunk, shards: int):
     e, l = early[known], late[known]
     h2, h1, last = c.numbers[h[e]], c.numbers[h[l]], c.numbers[w[l]]
     shard = triple_shard(h2, h1, last, c.counts[h[l]], c.pair_counts[e], shards)
-    order = np.lexsort((last, h2, h1, shard))
+    order = by_shard(shard, shards)
     columns = [h2[order], h1[order], last[order], counts[known[order]], c.pair_counts[e[order]], c.pair_codes[l[order]]]
     return shard[order], known[order], columns, (h, w, pair, early, late, triple, at)
 
@@ -302,15 +318,16 @@ def triple_questions(shards: int):
 
 
 def distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(a row of each distinct entry in sorted order, each row's entry)."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
+    """(a row of each distinct entry in sorted order, each row's entry); columns too wide for one word are ranked first."""
+    if sum(int(c.max(initial=0)).bit_length() for c in columns) > 64:
+        columns = [distinct_keys(c)[1].astype(U) for c in columns]
+    key = np.zeros(len(columns[0]), U)
     for c in columns:
-        s = c[order]
-        new |= np.r_[True, s[1:] != s[:-1]][: len(s)]
-    entry = np.empty(len(order), np.int64)
-    entry[order] = np.cumsum(new) - 1
-    return order[new], entry
+        key = (key << U(int(c.max(initial=0)).bit_length())) | c
+    _, entry = distinct_keys(key)
+    row = np.empty(int(entry.max(initial=-1)) + 1, np.int64)
+    row[entry] = np.arange(len(entry))
+    return row, entry
 
 
 def added(counts: np.ndarray, entry: np.ndarray, n: int) -> np.ndarray:
@@ -318,41 +335,46 @@ def added(counts: np.ndarray, entry: np.ndarray, n: int) -> np.ndarray:
 
 
 def word_replies(shards: int):
-    def reply(shard, columns, sizes):
-        words, counts = (c.astype(U) for c in columns)
-        first, entry = distinct([words])
-        total = added(counts, entry, len(first))
-        keep = total > 0
-        level = Words.build(words[first][keep], total[keep])
+    def reply(shard, columns, level):
+        words, counts = columns
+        row, entry = distinct([words])
+        words, total, grams = words[row], added(counts, entry, len(row)), 0
+        if level is None:
+            some = total > 0
+            level = Words.build(words[some], total[some])
+            grams = int(some.sum()) - int((words[some] == START).sum())
         at, count = Words(level).find(words)
         number = np.where(at >= 0, at * shards + shard + 1, 0).astype(U)
-        return [number, count], level, int(keep.sum()) - int((words[first][keep] == START).sum())
+        return [number[entry], count[entry]], level, grams
 
     return reply
 
 
 def pair_replies(n: int, v: int, prior: float):
-    def reply(_, columns, sizes):
-        h, w, counts, of_h, of_w = (c.astype(U) for c in columns)
-        first, entry = distinct([h, w])
-        total = added(counts, entry, len(first))
-        first, total = first[total > 0], total[total > 0]
-        below = (of_w[first] + 0.1) / (n + 0.1 * (v + 1))
-        level = Pairs.build(h[first], w[first], total, (total + prior * below) / (of_h[first] + prior))
-        return [*Pairs(level).find(h, w)], level, len(first)
+    def reply(_, columns, level):
+        row, entry = distinct(columns[:2])
+        h, w, _, of_h, of_w = (c[row] for c in columns)
+        total, some = added(columns[2], entry, len(row)), []
+        if level is None:
+            some = np.flatnonzero(total > 0)
+            below = (of_w[some] + 0.1) / (n + 0.1 * (v + 1))
+            level = Pairs.build(h[some], w[some], total[some], (total[some] + prior * below) / (of_h[some] + prior))
+        count, code = Pairs(level).find(h, w)
+        return [count[entry], code[entry]], level, len(some)
 
     return reply
 
 
 def triple_replies(prior: float):
-    def reply(_, columns, sizes):
-        h2, h1, w, counts, of_h = (c.astype(U) for c in columns[:5])
-        first, entry = distinct([h1, h2, w])
-        total = added(counts, entry, len(first))
-        first, total = first[total > 0], total[total > 0]
-        p = (total + prior * 10 ** decoded(columns[5][first])) / (of_h[first] + prior)
-        level = Triples.build(h2[first], h1[first], w[first], p)
-        return [Triples(level).find(h2, h1, w)], level, len(first)
+    def reply(_, columns, level):
+        row, entry = distinct([columns[1], columns[0], columns[2]])
+        h2, h1, w, _, of_h, below = (c[row] for c in columns)
+        total, some = added(columns[3], entry, len(row)), []
+        if level is None:
+            some = np.flatnonzero(total > 0)
+            p = (total[some] + prior * 10 ** decoded(below[some])) / (of_h[some] + prior)
+            level = Triples.build(h2[some], h1[some], w[some], p)
+        return [Triples(level).find(h2, h1, w)[entry]], level, len(some)
 
     return reply
 
@@ -362,41 +384,69 @@ def triple_replies(prior: float):
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double, learn boolean"
 
 
-def fit_and_score(
-    docs: DataFrame, learn: str, priors: tuple[float, float] = (2.0, 1.0), chunk_tokens: int = 1_000_000, shard_tokens: int = 1_000_000,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> tuple[DataFrame, dict[str, DataFrame], int]:
-    """Learns from the rows where the SQL condition ``learn`` on (doc_id, text) is true and scores all rows.
+@dataclass
+class Model:
+    """What ``fit`` learnt: levels (words, pairs, triples), each a table of shard, body (the trie) and number (of grams)."""
+
+    levels: dict[str, DataFrame]
+    shards: int
+    n_tokens: int
+    n_words: int
+    priors: tuple[float, float]
+
 
-    Gives the scores (doc_id, n_tokens, n_known, base_score, score, learn), the model's levels (words, pairs, triples:
-    shard, body, number of grams) and the number of tokens learnt from. Tokens are the words ``[^\\x20\\x09-\\x0D]+`` after
+def fit(
+    docs: DataFrame, learn: str = "true", priors: tuple[float, float] = (50.0, 5.0), chunk_tokens: int = 1_000_000, shard_tokens: int = 1_000_000,
+    id_col: str = "doc_id", text_col: str = "text", keep_levels: bool = True,
+) -> tuple[Model, DataFrame]:
+    """A model of the rows where the SQL condition ``learn`` on (doc_id, text) is true, and the scores of all rows under it.
+
+    Scores: doc_id, n_tokens, n_known, base_score, score, learn. Tokens are the words ``[^\\x20\\x09-\\x0D]+`` after
     lowering A-Z, then one end. base_score sums log10((c + 0.1) / (N + 0.1 (V + 1))); score is the trigram model's log10 probability.
+    Without ``keep_levels`` a shard's trie lives only in the task that answers from it, and the model has no levels.
 
     Null and empty texts are the end alone. A null ``learn`` counts as false (so does a null key, if it decides). Repeated rows
-    count each time. An empty table gives no rows; without learnt rows every word is unknown and has the probability 1 of the
-    one place for unknown words. Other columns are ignored. A document of any length lies in one chunk. Words are
-    named by 64-bit hashes; two of a billion words meet with a chance of 3 percent.
+    count each time. An empty table gives no rows; without learnt rows every word is unknown and takes the one place for
+    unknown words. Other columns are ignored. A document of any length lies in one chunk. Words are
+    named by 64-bit hashes; two of a billion words share one with a chance of 3 percent.
     """
-    spark = docs.sparkSession
     d = texts(docs, id_col, text_col).withColumn("learn", F.coalesce(F.expr(learn), F.lit(False)))
+    return run_levels(d, None, priors, chunk_tokens, shard_tokens, keep_levels)
+
+
+def score(docs: DataFrame, model: Model, chunk_tokens: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scores of other documents under a fitted model, from its stored levels; columns and cases as in ``fit``, learn is false."""
+    d = texts(docs, id_col, text_col).withColumn("learn", F.lit(False))
+    return run_levels(d, model, model.priors, chunk_tokens, 1, False)[1]
+
+
+def run_levels(d: DataFrame, model: Model | None, priors, chunk_tokens: int, shard_tokens: int, keep_levels: bool) -> tuple[Model, DataFrame]:
+    spark = d.sparkSession
     chunks, at = settle_at(read_chunks(d, chunk_tokens), "chunks")
-    size = chunks.agg(F.sum("trained").alias("n"), F.count("*").alias("chunks")).first()
-    n, shards = size["n"] or 0, max(1, -(-(size["n"] or 0) // shard_tokens))
+    n = model.n_tokens if model else chunks.agg(F.sum("trained")).first()[0] or 0
+    shards = model.shards if model else max(1, -(-n // shard_tokens))
+    stored, levels = model.levels if model else {}, {}
+
+    def level(name: str, questions, replies, join, schema: str, label: str):
+        nonlocal chunks, at
+        answers, place = settle_at(answer(ask(chunks, questions), replies, keep_levels, stored.get(name)), name, ("level",))
+        grams = model.n_words if model else answers.agg(F.sum("number")).first()[0] or 0
+        release(spark)  # of the questions
+        chunks, at, old = *settle_at(merge(chunks, answers.where("level = 0"), join(grams), schema), label), at
+        discard(spark, old, place + "/level=0")
+        levels[name] = answers.where("level = 1").select("shard", "body", "number")
+        release(spark)
+        return grams
 
-    words, asked = settle_at(answer(ask(chunks, word_questions(shards)), word_replies(shards)), "words")
-    v = words.where("chunk IS NULL").agg(F.sum("number")).first()[0] or 0
-    chunks, at, old = *settle_at(merge(chunks, words, keep_state, CHUNK), "chunks"), at
-    discard(spark, old)
+    v = level("words", word_questions(shards), word_replies(shards), lambda _: keep_state, CHUNK, "chunks")
+    level("pairs", pair_questions(shards), pair_replies(n, v, priors[0]), lambda _: keep_pairs(shards), CHUNK, "chunks")
+    level("triples", triple_questions(shards), triple_replies(priors[1]), lambda _: final_scores(shards, n, v, priors), SCORES, "scores")
+    return Model(levels if keep_levels else {}, shards, n, v, priors), chunks
 
-    pairs, _ = settle_at(answer(ask(chunks, pair_questions(shards)), pair_replies(n, v, priors[0])), "pairs")
-    chunks, at, old = *settle_at(merge(chunks, pairs, keep_pairs(shards), CHUNK), "chunks"), at
-    discard(spark, old)
 
-    triples, _ = settle_at(answer(ask(chunks, triple_questions(shards)), triple_replies(priors[1])), "triples")
-    scores, _ = settle_at(merge(chunks, triples, final_scores(shards, n, v, priors), SCORES), "scores")
-    discard(spark, at)
-    levels = {k: f.where("chunk IS NULL").select("shard", "body", "number") for k, f in (("words", words), ("pairs", pairs), ("triples", triples))}
-    return scores, levels, n
+def release(spark) -> None:
+    """Lets the driver's JVM collect frames no longer in use, upon which Spark removes their shuffle files."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def frame(chunk: int, arrays: list[np.ndarray]):
@@ -406,7 +456,8 @@ def frame(chunk: int, arrays: list[np.ndarray]):
 
 
 def keep_state(chunk, arrays, replies):
-    return frame(chunk, [*arrays, *map(narrow, replies)])
+    start = np.searchsorted(arrays[4], START)  # the only word still known by its hash
+    return frame(chunk, [*arrays[:4], np.array([start], np.uint32), arrays[5], *map(narrow, replies)])
 
 
 def keep_pairs(shards: int):

@@ -82,8 +82,8 @@ def op10_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_ngram_trie")
 def op12_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
     held_out = "crc32(cast(doc_id AS string)) % 10 = 0"
-    scores, _, n = ngram_model.fit_and_score(table(spark, folder, "documents"), f"NOT {held_out}")
-    return scores.select("doc_id", F.expr(held_out).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    model, scores = ngram_model.fit(table(spark, folder, "documents"), f"NOT {held_out}", keep_levels=False)
+    return scores.select("doc_id", F.expr(held_out).alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 @query("op13_resident_codes", vector_codes.compress_sql())
