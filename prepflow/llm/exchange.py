@@ -125,12 +125,15 @@ def answer(asks: DataFrame, reply, keep_levels: bool = True, stored: DataFrame |
     return asks.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(run, schema)
 
 
-def merge(chunks: DataFrame, answers: DataFrame, join, schema: str) -> DataFrame:
-    """``join(chunk, arrays, columns)`` meets each chunk with its answers, in the order of its questions; gives a frame of ``schema``."""
+def merge(chunks: DataFrame, answers: DataFrame, join, schema: str, joined: bool = True) -> DataFrame:
+    """``join(chunk, arrays, columns)`` meets each chunk with its answers, in the order of its questions; gives a frame of ``schema``.
+
+    Without ``joined`` it gets the answers as a list by shard instead of as one set of columns.
+    """
 
     def run(key, state, replies):
         replies = [expand(b) for b in replies.sort_values("shard")["body"]]
-        return join(int(key[0]), expand(state["body"].iloc[0]), [np.concatenate(c) for c in zip(*replies, strict=True)])
+        return join(int(key[0]), expand(state["body"].iloc[0]), [np.concatenate(c) for c in zip(*replies, strict=True)] if joined else replies)
 
     replies = answers.select("shard", "chunk", "body")
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(run, schema)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prepflow.catalog.registry import query
 
-from . import archives, decontaminate, licenses, mixing, ngram_model, pii, quality, set_join, substrings, tokens, toxicity, vector_codes
+from . import alignment, archives, decontaminate, licenses, mixing, ngram_model, pii, quality, set_join, substrings, tokens, toxicity, vector_codes
 from .common import table
 
 HELD_OUT = "crc32(cast(doc_id AS string)) % 5 = 0"
@@ -79,6 +79,13 @@ def op10_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 @query("op12_ngram_trie")
 def op12_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
     held_out = "crc32(cast(doc_id AS string)) % 10 = 0"
