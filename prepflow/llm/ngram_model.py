@@ -17,16 +17,18 @@ probabilities of all words after a context sum to 1 (unknown words share one pla
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepflow.sources.scratch import discard, settle_at
 
-from .common import LOWER, WordIds, mixed, texts
+from .common import LOWER, mixed, texts
 from .elias_fano import EliasFano, distinct_keys
 from .exchange import CHUNK, answer, ask, chunk_name, expand, merge, narrow, pack, squeeze, view
 
@@ -195,28 +197,41 @@ class Triples:
 # ---- chunks ----------------------------------------------------------------------------
 
 
+class Places(dict):
+    """Numbers of the words of a chunk as they come, after those of END (0) and START (1)."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self) + 2
+        return place
+
+
 def read_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
     """docs: doc_id, text, learn. Chunks of whole documents: doc_ids, whether null, learnt, lengths, words (sorted hashes; after the first level only the place of START), tokens (places in words)."""
 
     def run(batches):
-        ids, keys, learnt, held, size, number = WordIds(), [], [], [], 0, 0
+        known, keys, learnt, held, size, number = Places(), [], [], [], 0, 0
 
         def close():
-            words, tokens = np.unique(np.concatenate([*held, [START]]), return_inverse=True)
+            hashes = np.array([END, START, *map(xxhash.xxh64_intdigest, known)], U)
+            order = np.argsort(hashes)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
             keyed = np.array([0 if k is None else k for k in keys], np.int64)
-            arrays = [keyed, np.array([k is None for k in keys], np.uint8), np.array(learnt, np.uint8), narrow(np.array([len(x) for x in held])), words, narrow(tokens[:-1])]
-            trained = int(arrays[3].astype(np.int64)[arrays[2] > 0].sum())
+            lengths, tokens = np.array([len(x) for x in held], np.int64), narrow(place[np.concatenate(held)])
+            arrays = [keyed, np.array([k is None for k in keys], np.uint8), np.array(learnt, np.uint8), narrow(lengths), hashes[order], tokens]
+            trained = int(lengths[arrays[2] > 0].sum())
             return pa.RecordBatch.from_arrays([pa.array([chunk_name(number)]), pa.array([squeeze(arrays)], pa.binary()), pa.array([trained])], names=["chunk", "body", "trained"])
 
         for batch in batches:
             for key, text, learn in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                held.append(np.r_[ids(text.as_py().encode().translate(LOWER).split()), END])
+                words = text.as_py().encode().translate(LOWER).split()
+                held.append(np.fromiter(itertools.chain(map(known.__getitem__, words), (0,)), np.int64, len(words) + 1))
                 keys.append(key)
                 learnt.append(learn)
                 size += len(held[-1])
                 if size >= chunk_tokens:
                     yield close()
-                    keys, learnt, held, size, number = [], [], [], 0, number + 1
+                    known, keys, learnt, held, size, number = Places(), [], [], [], 0, number + 1
         if held:
             yield close()
 
