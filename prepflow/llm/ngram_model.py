@@ -17,7 +17,9 @@ probabilities of all words after a context sum to 1 (unknown words share one pla
 
 from __future__ import annotations
 
+import gc
 import itertools
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,6 +94,13 @@ class Words:
     def build(words: np.ndarray, counts: np.ndarray) -> bytes:
         return flat([words, sums(counts)], [])
 
+    def ranks(self) -> np.ndarray:
+        """The rank of each word by falling count: small numbers for frequent words take less room in questions."""
+        order = np.argsort(-np.diff(self.counts.access(np.arange(self.words.n + 1)).astype(np.int64)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return rank
+
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place (-1: unknown) and count of each word."""
         at = self.words.find(words)
@@ -206,19 +215,16 @@ class Places(dict):
 
 
 def read_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
-    """docs: doc_id, text, learn. Chunks of whole documents: doc_ids, whether null, learnt, lengths, words (sorted hashes; after the first level only the place of START), tokens (places in words)."""
+    """docs: doc_id, text, learn. Chunks of whole documents: doc_ids, whether null, learnt, lengths, hashes of the words (END, START, then as they come; none after the first level), tokens (places in words)."""
 
     def run(batches):
         known, keys, learnt, held, size, number = Places(), [], [], [], 0, 0
 
         def close():
             hashes = np.array([END, START, *map(xxhash.xxh64_intdigest, known)], U)
-            order = np.argsort(hashes)
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
             keyed = np.array([0 if k is None else k for k in keys], np.int64)
-            lengths, tokens = np.array([len(x) for x in held], np.int64), narrow(place[np.concatenate(held)])
-            arrays = [keyed, np.array([k is None for k in keys], np.uint8), np.array(learnt, np.uint8), narrow(lengths), hashes[order], tokens]
+            lengths = np.array([len(x) for x in held], np.int64)
+            arrays = [keyed, np.array([k is None for k in keys], np.uint8), np.array(learnt, np.uint8), narrow(lengths), hashes, narrow(np.concatenate(held))]
             trained = int(lengths[arrays[2] > 0].sum())
             return pa.RecordBatch.from_arrays([pa.array([chunk_name(number)]), pa.array([squeeze(arrays)], pa.binary()), pa.array([trained])], names=["chunk", "body", "trained"])
 
@@ -243,11 +249,10 @@ class Chunk:
 
     def __init__(self, arrays: list[np.ndarray]):
         self.arrays = arrays
-        self.keys, self.no_key, self.learnt, lengths, self.words, tokens = arrays[:6]
+        self.keys, self.no_key, self.learnt, lengths, self.hashes, tokens = arrays[:6]
         self.lengths, self.tokens = lengths.astype(np.int64), tokens.astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.weight = np.repeat(self.learnt, self.lengths).astype(np.int64)
-        self.start_word = int(np.searchsorted(self.words, START)) if len(arrays) == 6 else int(self.words[0])
         if len(arrays) > 6:
             self.numbers, self.counts = (a.astype(U) for a in arrays[6:8])  # number 0: unknown
         if len(arrays) > 8:
@@ -256,7 +261,7 @@ class Chunk:
     def before(self) -> np.ndarray:
         """The word before each token."""
         h = np.r_[0, self.tokens[:-1]]
-        h[self.starts] = self.start_word
+        h[self.starts] = 1  # START
         return h
 
     def pairs(self):
@@ -279,9 +284,10 @@ class Chunk:
 def word_questions(shards: int):
     def entries(arrays):
         c = Chunk(arrays)
-        counts = np.bincount(c.tokens, c.weight, len(c.words)).astype(U)
-        counts[c.start_word] = int(c.learnt.sum())
-        return word_shard(c.words, shards), [c.words, counts]  # sorted by hash, so by shard
+        counts = np.bincount(c.tokens, c.weight, len(c.hashes)).astype(U)
+        counts[1] = int(c.learnt.sum())
+        order = np.argsort(c.hashes)  # by hash, so by shard
+        return word_shard(c.hashes[order], shards), [c.hashes[order], counts[order]]
 
     return entries
 
@@ -358,8 +364,9 @@ def word_replies(shards: int):
             some = total > 0
             level = Words.build(words[some], total[some])
             grams = int(some.sum()) - int((words[some] == START).sum())
-        at, count = Words(level).find(words)
-        number = np.where(at >= 0, at * shards + shard + 1, 0).astype(U)
+        known = Words(level)
+        at, count = known.find(words)
+        number = np.where(at >= 0, known.ranks()[at] * shards + shard + 1, 0).astype(U) if known.words.n else np.zeros(len(words), U)
         return [number[entry], count[entry]], level, grams
 
     return reply
@@ -461,7 +468,10 @@ def run_levels(d: DataFrame, model: Model | None, priors, chunk_tokens: int, sha
 
 def release(spark) -> None:
     """Lets the driver's JVM collect frames no longer in use, upon which Spark removes their shuffle files."""
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # frames let go on this side reach the JVM with a delay
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
 
 
 def frame(chunk: int, arrays: list[np.ndarray]):
@@ -471,8 +481,10 @@ def frame(chunk: int, arrays: list[np.ndarray]):
 
 
 def keep_state(chunk, arrays, replies):
-    start = np.searchsorted(arrays[4], START)  # the only word still known by its hash
-    return frame(chunk, [*arrays[:4], np.array([start], np.uint32), arrays[5], *map(narrow, replies)])
+    order, placed = np.argsort(arrays[4]), [np.zeros(len(arrays[4]), U) for _ in replies]
+    for into, reply in zip(placed, replies, strict=True):
+        into[order] = reply
+    return frame(chunk, [*arrays[:4], arrays[4][:0], arrays[5], *map(narrow, placed)])
 
 
 def keep_pairs(shards: int):
