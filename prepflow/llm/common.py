@@ -36,24 +36,26 @@ def words_of(text: F.Column) -> F.Column:
 
 
 class WordIds:
-    """64-bit hashes of byte words, remembered up to a bounded number of words."""
+    """64-bit hashes of byte words, remembered up to a bounded number of bytes (some 150 for a word besides its own)."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, most_bytes: int = 40_000_000):
         self.known: dict[bytes, int] = {}
-        self.limit = limit
+        self.most_bytes, self.held = most_bytes, 0
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         import xxhash
 
         known = self.known
-        if len(known) > self.limit:
+        if self.held > self.most_bytes:
             known.clear()
+            self.held = 0
         try:
             return np.array([known[w] for w in words], dtype=np.uint64)
         except KeyError:
             digest = xxhash.xxh64_intdigest
             for w in set(words).difference(known):
                 known[w] = digest(w)
+                self.held += 150 + len(w)
             return np.array([known[w] for w in words], dtype=np.uint64)
 
 

@@ -43,7 +43,7 @@ class Encoder(dict):
     many at a time; the ids that end a word part them again. Other pieces go one by one.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 400_000, most_words: int = 700_000):
+    def __init__(self, path: str, end_id: int, most_bytes: int = 40_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,7 +52,12 @@ class Encoder(dict):
         self.end = np.array([end_id], self.dtype).tobytes()
         self.ends_word = np.zeros(self.vocabulary, dtype=bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.limit, self.most_words, self.cores = limit, most_words, {}
+        self.most_bytes, self.held, self.cores = most_bytes, 0, {}
+
+    def remember(self, into: dict, key: str, value: bytes) -> None:
+        """``held`` counts the bytes of both memories, some 250 for an entry besides its text and ids."""
+        into[key] = value
+        self.held += 250 + len(key) + len(value)
 
     def __missing__(self, piece: str) -> bytes:
         core = piece.rstrip(TAIL)
@@ -60,13 +65,13 @@ class Encoder(dict):
             value = self.core(core) + self.core(piece[len(core) :])
         else:
             value = self.core(piece)
-        self[piece] = value
+        self.remember(self, piece, value)
         return value
 
     def core(self, core: str) -> bytes:
         key = core.lower() if is_word(core) else core
         if key not in self.cores:
-            self.cores[key] = np.array(self.tokenizer.encode(key, add_special_tokens=False).ids, self.dtype).tobytes()
+            self.remember(self.cores, key, np.array(self.tokenizer.encode(key, add_special_tokens=False).ids, self.dtype).tobytes())
         return self.cores[key]
 
     def learn(self, pieces: set[str]) -> None:
@@ -81,30 +86,20 @@ class Encoder(dict):
             if len(cuts) != len(some):  # left to the tokenizer, one by one
                 continue
             for word, cut in zip(some, cuts.tolist(), strict=True):
-                self.cores[word] = raw[at:cut]
+                self.remember(self.cores, word, raw[at:cut])
                 at = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > self.limit:
+        if self.held > self.most_bytes:
             self.clear()
-        if len(self.cores) > self.most_words:
             self.cores.clear()
+            self.held = 0
         split = [t.replace("\n", " ").split(" ") for t in texts]
         self.learn(set().union(*split).difference(self))
         get = self.__getitem__
         return [b"".join(map(get, pieces)) + self.end for pieces in split]
 
 
-def worker_encoder(path: str, end_id: int) -> Encoder:
-    """One encoder for the life of a worker process, so that later tasks find most words known (bounded by ``limit``)."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_prepflow_encoders", {})
-    if (path, end_id) not in kept:
-        kept[path, end_id] = Encoder(path, end_id)
-    return kept[path, end_id]
-
-
 # ---- grammar -------------------------------------------------------------------------
 
 
@@ -247,7 +242,7 @@ def write_shards(
     def write(batches):
         from pyspark import TaskContext
 
-        encoder = worker_encoder(path, end_id)
+        encoder = Encoder(path, end_id)  # gone with the task
         part, start, ids, doc_ids, sizes, held = TaskContext.get().partitionId(), 0, [], [], [], 0
         unit = encoder.dtype.itemsize
 
