@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import functions as F
 
-from prepflow.catalog.preparation import LINE_KEY
+from prepflow.catalog.preparation import LINE_KEY, _wide_hash_sql
 from prepflow.catalog.registry import query
 from prepflow.catalog.relational import lineitem, round_sql, rounded
-from prepflow.operators import clean, knn, metrics, models
+from prepflow.operators import clean, histogram_trees, knn, metrics, models, stages
 from prepflow.plans import modelling as flows
+from prepflow.plans import stored_flow
 from prepflow.sources import files
 from prepflow.sources.scratch import scratch_path
 
@@ -254,6 +255,53 @@ def score_regression(spark, folder):
     return _scored(spark, folder, "l_extendedprice", "RFR", FOREST)
 
 
+_ROW_TEXT = "concat_ws('|', " + ", ".join(f"{c}::varchar" for c in LINE_KEY) + ")"
+_ROW_WIDE = _wide_hash_sql(f"12345::varchar || chr(45) || {_ROW_TEXT}")
+
+
+@query(
+    "stored_flow_test",
+    f"with c as (select l_returnflag, row_number() over (order by count(*) desc, l_returnflag) - 1 as code from lineitem where {_ROW_WIDE} < {int(0.8 * (1 << 60))} group by 1) "
+    f"select {_KEYS}, code::double as actual, true as same from lineitem join c using (l_returnflag) where {_ROW_WIDE} >= {int(0.8 * (1 << 60))}",
+)
+def stored_flow_test(spark, folder):
+    """Train and store, then load and test: the same held-out rows, classes and predictions as the flow in memory."""
+    df = _with_gaps(lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_returnflag")).drop("source")
+    fitted = stored_flow.train(df, "l_returnflag", LINE_KEY, "DTC")
+    loaded = stored_flow.StoredFlow.load(spark, fitted.save(scratch_path(spark, "flow")))
+    fresh = stored_flow.test(df, fitted, "accuracy")[0].select(*LINE_KEY, F.col("prediction").alias("fresh"))
+    out = stored_flow.test(df, loaded, "accuracy")[0].join(fresh, LINE_KEY)
+    return out.select(*LINE_KEY, F.col("_label").alias("actual"), (F.col("prediction") == F.col("fresh")).alias("same"))
+
+
+@query("stored_flow_score", f"select {_KEYS}, true as known, true as rated from lineitem")
+def stored_flow_score(spark, folder):
+    """Rows without their label, scored by a stored flow that fills and codes them itself: each key once, with a class of the label."""
+    df = _with_gaps(lineitem(spark, folder).select(*LINE_KEY, *FEATURES, "l_returnflag")).drop("source")
+    path = stored_flow.train(df, "l_returnflag", LINE_KEY, "DTC", strategy="mode").save(scratch_path(spark, "flow"))
+    out = stored_flow.score(df.drop("l_returnflag"), stored_flow.StoredFlow.load(spark, path))
+    return out.select(*LINE_KEY, F.col("LOAN_CLASS").isin("A", "N", "R").alias("known"), F.col("LOAN_RATING").between(0, 100).alias("rated"))
+
+
+_CODED = "row_number() over (order by count(*) desc, {c}) - 1 as code, {c} from lineitem group by {c}"
+
+
+@query(
+    "category_vector",
+    f"with m as (select {_CODED.format(c='l_returnflag')}), i as (select {_CODED.format(c='l_linestatus')}), "
+    "n as (select (select count(*) from m) as m, (select count(*) from i) as i) "
+    f"select {_KEYS}, m.code::int as flag_at, (n.m + i.code)::int as status_at, l_quantity::double as quantity, (n.m + n.i + 1)::int as size "
+    "from lineitem join m using (l_returnflag) join i using (l_linestatus), n",
+)
+def category_vector(spark, folder):
+    """Indicators and a number as one sparse vector, from code tables that rows are joined to."""
+    df = lineitem(spark, folder).select(*LINE_KEY, "l_returnflag", "l_linestatus", F.col("l_quantity").cast("double").alias("l_quantity"))
+    out = stages.VectorStages(leaveOut=list(LINE_KEY)).fit(df).transform(df)
+    # the stored form of a sparse vector: its size, positions and values
+    parts = F.from_json(F.to_json(F.struct("features")), "features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>")["features"]
+    return out.select(*LINE_KEY, parts["indices"][0].alias("flag_at"), parts["indices"][1].alias("status_at"), parts["values"][2].alias("quantity"), parts["size"].alias("size"))
+
+
 @query("score_multioutput")
 def score_multioutput(spark, folder):
     df, _, features, fitted = _multi(spark, folder)
@@ -283,3 +331,46 @@ def test_multioutput(spark, folder):
     _, held_out, features, fitted = _multi(spark, folder)
     out = models.predict_multioutput(features.transform(held_out), fitted, [*LINE_KEY, *_Y])
     return metrics.output_report(out, {y: (y, f"{y}_predicted") for y in _Y})
+
+
+# ---- trees from histograms -----------------------------------------------------
+
+_BAND = "floor((l_quantity + 100 * l_discount) / 10)::int"
+_DEAR = "(l_extendedprice > 50000)::int"
+_SPLIT = int(0.8 * (1 << 60))
+
+
+def _bands(spark, folder):
+    df = lineitem(spark, folder).select(*LINE_KEY, "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    band = F.floor((F.col("l_quantity") + 100 * F.col("l_discount")) / 10).cast("int")
+    return df.withColumns({"band": band, "dear": (F.col("l_extendedprice") > 50_000).cast("int")}).drop("l_extendedprice")
+
+
+@query(
+    "joint_forest",
+    f"with h as (select {_BAND} as band, {_DEAR} as dear from lineitem where {_ROW_WIDE} >= {_SPLIT}), "
+    "b as (select count(*) as n from h group by band), d as (select count(*) as n from h group by dear) "
+    "select 'band' as output, sum(n)::bigint as held_out, max(n) as majority, true as beaten from b "
+    "union all select 'dear', sum(n)::bigint, max(n), true from d",
+)
+def joint_forest(spark, folder):
+    """One forest for two outputs, against always guessing the most frequent class of the held-out rows."""
+    fit_on, held_out = flows.split_rows(_bands(spark, folder), LINE_KEY, 0.8)
+    model = histogram_trees.fit_joint_forest(fit_on, ["l_quantity", "l_discount", "l_tax"], ["band", "dear"], LINE_KEY, n_trees=10)
+    out = model.predict(held_out)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("output"), F.col(c).alias("y"), F.col(f"{c}_predicted").alias("p")) for c in model.labels]))
+    classes = out.select(cells.alias("c")).groupBy("c.output", "c.y").agg(F.count("*").alias("n"), F.count_if(F.col("c.y") == F.col("c.p")).alias("hits"))
+    best = classes.groupBy("output").agg(F.sum("n").alias("held_out"), F.max("n").alias("majority"), F.sum("hits").alias("hits"))
+    return best.select("output", "held_out", "majority", (F.col("hits") > F.col("majority")).alias("beaten"))
+
+
+@query(
+    "softmax_boosting",
+    f"select r::int as round, (select count(*) from lineitem where {_ROW_WIDE} < {_SPLIT}) as trained, true as falls from range(1, 6) t(r)",
+)
+def softmax_boosting(spark, folder):
+    """The training log loss of all classes together falls in every round."""
+    fit_on, _ = flows.split_rows(_bands(spark, folder), LINE_KEY, 0.8)
+    model = histogram_trees.fit_boosted(fit_on, ["l_quantity", "l_discount", "l_tax"], "band", LINE_KEY, rounds=5, depth=3)
+    steps = [(i + 1, b < a) for i, (a, b) in enumerate(zip(model.log_loss[:-1], model.log_loss[1:], strict=True))]
+    return spark.createDataFrame(steps, "round int, falls boolean").join(fit_on.agg(F.count("*").alias("trained"))).select("round", "trained", "falls")
