@@ -69,7 +69,9 @@ def chunk_name(number: int) -> int:
 
 def cut(shard: np.ndarray, columns: list[np.ndarray]):
     """(shard, squeezed columns) for each shard of entries that are sorted by shard."""
-    starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else np.zeros(0, int)
+    if not len(shard):
+        return
+    starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(shard)], strict=True):
         yield int(shard[a]), squeeze([narrow(c[a:b]) for c in columns])
 

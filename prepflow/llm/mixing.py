@@ -69,12 +69,12 @@ def rate_sql(step: list[float]) -> str:
 def fit_rates(weighted: DataFrame, targets: list[float], rounds: int = 200, tolerance: float = 5e-3, pull: float = 1e-6) -> tuple[str, list[float]]:
     """SQL for each document's rate, and the domain totals it gives.
 
-    ``weighted`` has n_tokens and p. Minimises (S - T)' G^-1 (S - T) + ``pull`` * sum(n (r - 1)^2) over r >= 0,
-    in shares of all tokens, with S the domain totals, T the targets and G = sum(n p p') / sum(n): least squares in
-    which each direction of the domain space counts alike, and of equal totals those rates that
-    stay nearest to the present mixture. The optimum has the rates max(0, 1 + p.x), and x is
-    found by gradient steps on the dual problem in the metric of the documents with positive rates,
-    halved until they descend; that problem is strictly convex, so a vanishing gradient proves the optimum.
+    ``weighted`` has n_tokens and p. Minimises |S - T|^2 + ``pull`` * sum(n (r - 1)^2) over r >= 0, in shares of all tokens, with
+    S the domain totals sum(r n p) and T the targets: plain least squares, and of equal totals those rates that
+    stay nearest to the present mixture. The optimum has the rates max(0, 1 + p.x), projected from the sum x of
+    all gradient steps, with ``pull`` x = T - S. Steps follow the gradient S - T + ``pull`` x of the dual problem,
+    preconditioned by the documents with positive rates and halved until they descend; that
+    problem is strictly convex, so a vanishing gradient proves the optimum.
 
     Ends when every total is within ``tolerance`` of its own target (or 1e-9 of all tokens), or
     when the optimum is reached; a RuntimeError if neither is so after ``rounds`` scans. A
@@ -100,14 +100,12 @@ def fit_rates(weighted: DataFrame, targets: list[float], rounds: int = 200, tole
 
     x, done = np.zeros(k), 1
     half, sums, gram = scan(x)
-    whole = gram  # at rate 1 all documents have positive rates
-    inside = whole @ np.linalg.pinv(whole, rcond=1e-9, hermitian=True)  # directions that totals can take
     while True:
-        gradient = inside @ (sums - goal + pull * whole @ x)
+        gradient = sums - goal + pull * x
         if (met := bool(np.all(np.abs(sums - goal) <= limit))) or np.all(np.abs(gradient) <= np.maximum(0.01 * limit, 1e-8)):
             break
-        value = half - goal @ inside @ x + pull * x @ whole @ x / 2
-        step = -inside @ np.linalg.pinv(gram + pull * whole, rcond=1e-13, hermitian=True) @ gradient
+        value = half - goal @ x + pull * x @ x / 2
+        step = -np.linalg.solve(gram + pull * np.eye(k), gradient)
         size = 1.0
         while True:
             if done == rounds:
@@ -116,8 +114,8 @@ def fit_rates(weighted: DataFrame, targets: list[float], rounds: int = 200, tole
             done += 1
             after = x + size * step
             # near the optimum values differ by less than they are exact: there the slope decides
-            slope = (inside @ (sums - goal + pull * whole @ after)) @ step
-            if half - goal @ inside @ after + pull * after @ whole @ after / 2 <= value + 1e-4 * size * (gradient @ step) or abs(slope) <= 0.5 * abs(gradient @ step):
+            slope = (sums - goal + pull * after) @ step
+            if half - goal @ after + pull * after @ after / 2 <= value + 1e-4 * size * (gradient @ step) or abs(slope) <= 0.5 * abs(gradient @ step):
                 break
             size /= 2
         x = after

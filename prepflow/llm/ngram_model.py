@@ -418,7 +418,7 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, learn: str = "true", priors: tuple[float, float] = (50.0, 5.0), chunk_tokens: int = 1_000_000, shard_tokens: int = 1_000_000,
+    docs: DataFrame, learn: str = "true", priors: tuple[float, float] = (50.0, 5.0), chunk_tokens: int = 1_000_000, shard_tokens: int = 500_000,
     id_col: str = "doc_id", text_col: str = "text", keep_levels: bool = True,
 ) -> tuple[Model, DataFrame]:
     """A model of the rows where the SQL condition ``learn`` on (doc_id, text) is true, and the scores of all rows under it.

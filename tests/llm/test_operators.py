@@ -7,6 +7,7 @@ import io
 import random
 import re
 import struct
+import warnings
 import zipfile
 import zlib
 from fractions import Fraction
@@ -308,12 +309,34 @@ def test_rates_meet_each_target_or_say_so(spark):
     with pytest.warns(UserWarning, match="no rates meet"):
         rate, sums = mixing.fit_rates(flat, [0.0, 20.0])
     assert all(r.r >= 0 for r in flat.select(F.expr(rate).alias("r")).collect())
-    inverse = np.linalg.inv(np.array([[0.725, 0.125], [0.125, 0.025]]))
-    worth = lambda s: (s - [0, 1]) @ inverse @ (s - [0, 1])
-    best = min(worth(np.array([0.9 * a + 0.8 * b, 0.1 * a + 0.2 * b])) for a in np.linspace(0, 4, 201) for b in np.linspace(0, 4, 201))
+    worth = lambda s: ((s - [0, 1]) ** 2).sum()
+    best = min(worth(np.array([0.9 * a + 0.8 * b, 0.1 * a + 0.2 * b]) / 2) for a in np.linspace(0, 4, 201) for b in np.linspace(0, 4, 201))
     assert worth(np.array(sums) / 20) <= best + 1e-3
 
 
+def plain_least_squares(n, p, targets, rounds=20_000):
+    """Domain shares of the nonnegative least squares fit, by accelerated projected gradient on all rates."""
+    a = (p * n[:, None]).T / n.sum()
+    r, y, t, curve = np.ones(len(n)), np.ones(len(n)), 1.0, np.linalg.eigvalsh(a @ a.T).max()
+    for _ in range(rounds):
+        after, t, old = np.maximum(0, y - a.T @ (a @ y - targets) / curve), (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        y, r = after + (old - 1) / t * (after - r), after
+    return a @ r
+
+
+@pytest.mark.parametrize("targets", [[0.75, 0.17, 0.08], [0.98, 0.01, 0.01], [0.0, 0.1, 0.0], [0.0, 0.0, 0.7], [3.0, 0.1, 0.1]])
+def test_rates_are_plain_least_squares_within_and_out_of_reach(spark, targets):
+    rng = np.random.default_rng(3)
+    n, p = rng.integers(1, 500, 40).astype(float), rng.dirichlet([0.5, 0.5, 0.5], 40) * 0.7 + 0.1
+    df = spark.createDataFrame([(float(a), b.tolist()) for a, b in zip(n, p)], "n_tokens double, p array<double>")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        _, sums = mixing.fit_rates(df, [x * n.sum() for x in targets])
+    got, best = np.array(sums) / n.sum(), plain_least_squares(n, p, np.array(targets))
+    assert ((got - targets) ** 2).sum() <= ((best - targets) ** 2).sum() + 5e-4 * (1 + max(targets))
+    assert np.abs(got - best).max() < 0.02
+
+
 def test_mixing_of_tables(spark, docs, awkward, empty):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     rated = mixing.rate_documents(docs, docs, labels)
