@@ -82,8 +82,8 @@ def fit_imputer(df: DataFrame, columns: list[str], strategy: str, constant: obje
     if strategy == "constant":
         found = {c: constant for c in columns}
     elif strategy == "mean":
-        row = df.agg(*[F.avg(missing_as_null(c, kinds[c])).alias(c) for c in columns]).first()
-        found = {c: row[c] for c in columns}
+        row = df.agg(*[F.avg(missing_as_null(c, kinds[c])).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+        found = dict(zip(columns, row, strict=True))
     elif strategy == "median":
         found = {c: q[0] for c, q in exact_quantiles(df, columns, [0.5]).items()}
     elif strategy == "mode":

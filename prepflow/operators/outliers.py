@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,12 @@ class Bounds:
 def iqr_bounds(
     df: DataFrame, columns: list[str], q1: float = 0.25, q3: float = 0.75, k: float = 1.5, exact: bool = True
 ) -> dict[str, Bounds]:
-    """Quantile bounds per column; columns without values are left out."""
+    """Quantile bounds per column; columns without values are left out. Decimals have doubles as bounds."""
     quantiles = exact_quantiles if exact else approx_quantiles
     bounds = {}
     for c, found in quantiles(df, columns, [q1, q3]).items():
         if found and found[0] is not None:
-            lo, hi = found
+            lo, hi = (float(v) if isinstance(v, Decimal) else v for v in found)
             spread = (hi - lo) * k
             bounds[c] = Bounds(lo, hi, lo - spread, hi + spread)
     return bounds

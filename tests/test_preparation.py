@@ -1,5 +1,6 @@
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import bag
@@ -33,23 +34,21 @@ def spread_values(kind, n=4000):
 
 
 @pytest.mark.parametrize("kind", ["uniform", "ties", "skewed", "gaps"])
-@pytest.mark.parametrize("limit, accuracy", [(100_000, 10_000), (5, 20)])
-def test_quantiles_are_exact(spark, monkeypatch, kind, limit, accuracy):
-    """Also with a crude sketch and tiny sorts, which forces many bracketing rounds."""
-    monkeypatch.setattr(quantiles, "SORT_AT_MOST", limit)
+@pytest.mark.parametrize("bits", [16, 5])
+def test_quantiles_are_exact(spark, kind, bits):
+    """Also with small digits, which forces many scans."""
     values = spread_values(kind)
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
-    got = quantiles.exact_quantiles(df, ["x"], POINTS, accuracy)
+    got = quantiles.exact_quantiles(df, ["x"], POINTS, bits)
     assert got["x"] == [disc(values, p) for p in POINTS]
 
 
-def test_quantiles_of_integers_beyond_double_precision(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "SORT_AT_MOST", 5)
+def test_quantiles_of_integers_beyond_double_precision(spark):
     values = [2**60 + 3 * i for i in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "x bigint")
     assert quantiles.exact_quantiles(df, ["x"], [0.1, 0.5])["x"] == [values[49], values[249]]
     with pytest.raises(ValueError):
-        quantiles.exact_quantiles(df, ["x"], [0.5], accuracy=4)
+        quantiles.exact_quantiles(df, ["x"], [0.5], digit_bits=17)
 
 
 def test_quantiles_of_integers_and_of_nothing(spark):
@@ -58,6 +57,45 @@ def test_quantiles_of_integers_and_of_nothing(spark):
     assert got == {"a": [49 * 49], "b": [None]}
 
 
+def test_quantiles_of_doubles_of_every_size(spark, monkeypatch):
+    """Both zeros, infinities, the smallest doubles, and neighbours of every power of two; four scans at most."""
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308]
+    for e in range(-1074, 1024):
+        values += [2.0**e, math.nextafter(2.0**e, math.inf), -math.nextafter(2.0**e, 0.0)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    scans, count = [], quantiles._count_digits
+    monkeypatch.setattr(quantiles, "_count_digits", lambda data, pending: scans.append(1) or count(data, pending))
+    points = [0.0, 0.001, 0.2, 0.33, 0.4, 0.5, 0.501, 0.66, 0.9, 0.9995, 1.0]
+    assert quantiles.exact_quantiles(df, ["x"], points)["x"] == [disc(values, p) for p in points]
+    assert len(scans) <= 4
+
+
+def test_words_of_doubles_keep_every_bit(spark):
+    values = [2.0**e for e in range(-1074, 1024)] + [math.nextafter(2.0**e, 0.0) for e in range(-1073, 1024)] + [-1 / 3, math.pi]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    words = sorted(r.words for r in quantiles.words_of_values(df, ["x"]).collect())
+    assert [quantiles.value_of(w, "double") for w in words] == sorted(values)
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(18,18)", "decimal(38,0)", "decimal(38,10)", "decimal(38,38)", "decimal(25,20)"])
+def test_quantiles_of_decimals(spark, kind):
+    precision, scale = quantiles._decimal(kind)
+    rng = random.Random(3)
+    values = [Decimal(rng.randrange(-(10 ** rng.randint(1, precision)) + 1, 10**precision)).scaleb(-scale, quantiles.WIDE) for _ in range(300)]
+    values += [Decimal(0), Decimal(10**precision - 1).scaleb(-scale, quantiles.WIDE), Decimal(1 - 10**precision).scaleb(-scale, quantiles.WIDE)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], f"x {kind}")
+    assert quantiles.exact_quantiles(df, ["x"], POINTS)["x"] == [sorted(values)[max(math.ceil(p * len(values)), 1) - 1] for p in POINTS]
+
+
+def test_quantiles_and_imputers_of_dotted_names(spark):
+    df = spark.createDataFrame([(1.0, Decimal("2.50")), (3.0, Decimal("9.00")), (None, None), (5.0, Decimal("10.00"))], "`a.b` double, `c``d` decimal(9,2)")
+    assert quantiles.exact_quantiles(df, df.columns, [0.5]) == {"a.b": [3.0], "c`d": [Decimal("9.00")]}
+    full = clean.apply_imputer(df, clean.fit_imputer(df, df.columns, "median"))
+    assert full.where(F.col("`a.b`").isNull()).count() == 0
+    bounds = outliers.iqr_bounds(df, df.columns)
+    assert outliers.flag_outliers(df, bounds).count() == 4
+
+
 # ---- reshape -----------------------------------------------------------------
 
 
