@@ -9,7 +9,7 @@ from prepflow.sources import files
 from prepflow.sources.scratch import scratch_path
 
 _TEXT_SQL = (
-    "select 'd' || doc_id::varchar as key, case when doc_id % 7 = 0 then null when doc_id % 5 = 0 then '' "
+    "select 'd' || doc_id::varchar as key, case when doc_id % 7 = 0 then null when doc_id % 11 = 0 then '\\N' when doc_id % 5 = 0 then '' "
     "when doc_id % 3 = 0 then '  \"' || text || '\\ ' else text end as text from documents "
     "union all select 'c' || conv_id::varchar || '-' || turn::varchar, chr(10) || text || chr(10) from conversations"
 )
@@ -17,10 +17,11 @@ _TEXT_SQL = (
 
 @query("csv_text_roundtrip", _TEXT_SQL)
 def csv_text_roundtrip(spark, folder):
-    """Texts with newlines, quotes, backslashes, blanks at the ends, empty and null, written as CSV and read again."""
+    """Texts with newlines, quotes, backslashes, blanks at the ends, empty, null and the null mark itself, written as CSV and read again."""
     docs = files.read_parquet(spark, folder, "documents").select(
         F.concat(F.lit("d"), "doc_id").alias("key"),
         F.when(F.col("doc_id") % 7 == 0, None)
+        .when(F.col("doc_id") % 11 == 0, "\\N")
         .when(F.col("doc_id") % 5 == 0, "")
         .when(F.col("doc_id") % 3 == 0, F.concat(F.lit('  "'), "text", F.lit("\\ ")))
         .otherwise(F.col("text"))

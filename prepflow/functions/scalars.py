@@ -36,9 +36,14 @@ def array_max_abs_percent(values: Column) -> Column:
     return (F.array_max(F.transform(values, F.abs)) * 100).cast("float")
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def missing_as_null(name: str, dtype: str) -> Column:
     """NaN counts as missing for floating columns; other types pass through."""
-    col = F.col("`" + name.replace("`", "``") + "`")
+    col = named(name)
     return F.when(~F.isnan(col), col) if dtype in ("double", "float") else col
 
 

@@ -34,7 +34,8 @@ VALUE = ["whole", "number", "text"]
 def cells(df: DataFrame, columns: list[str]) -> Column:
     """An array with one entry per column: its number in ``columns`` and its value in
     the slot of its kind. Numbers keep their own type, which is cheaper than text
-    and keeps their order; missing values leave all three slots null.
+    and keeps their order; missing values leave all three slots null. A decimal fills all
+    slots (whole part, where it is a bigint; the rest; its text), so that it sorts as a number and stays exact.
     """
     kinds = dict(df.dtypes)
     entries = []
@@ -42,12 +43,20 @@ def cells(df: DataFrame, columns: list[str]) -> Column:
         kind, value = kinds[c], missing_as_null(c, kinds[c])
         slot = "whole" if kind in ("tinyint", "smallint", "int", "bigint") else "number" if kind in ("float", "double") else "text"
         entry = [F.lit(i).alias("column")]
+        parts = _decimal_slots(value, kind) if kind.startswith("decimal") else {slot: value}
         for name, dtype in zip(VALUE, ("bigint", "double", "string")):
-            entry.append((value if name == slot else F.lit(None)).cast(dtype).alias(name))
+            entry.append(parts.get(name, F.lit(None)).cast(dtype).alias(name))
         entries.append(F.struct(*entry))
     return F.array(*entries)
 
 
+def _decimal_slots(value: Column, kind: str) -> dict[str, Column]:
+    precision, scale = (int(x) for x in kind[len("decimal(") : -1].split(","))
+    if precision - scale > 18:
+        return {"number": value, "text": value}
+    return {"whole": F.floor(value), "number": value - F.floor(value), "text": value}
+
+
 def known() -> Column:
     """True for cells that hold a value."""
     return F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
@@ -96,7 +105,7 @@ def mode_per_column(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     counted = value_profile(df, columns).where(known())
     best = F.min(F.struct((-F.col("n")).alias("less"), *VALUE)).alias("best")
-    mode = F.coalesce(*[F.col(f"best.{v}").cast("string") for v in VALUE]).alias("mode")
+    mode = F.coalesce(*[F.col(f"best.{v}").cast("string") for v in ("text", "whole", "number")]).alias("mode")
     return counted.groupBy("column").agg(best).select(column_name(columns), mode, (-F.col("best.less")).alias("count"))
 
 

@@ -7,36 +7,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prepflow.functions.scalars import named
 
 #: Both directions, so that text survives: quotes are doubled, blanks kept, null and empty text differ.
 TEXT_RULES = {
     "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
+#: Text that is the null mark, or the mark with backslashes before it, is written with one more and read with one less.
+MARK_WRITTEN, MARK_READ = r"^(\\+N)$", r"^\\(\\+N)$"
 
 
 def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header; cells may hold newlines. Without a schema the types are inferred by an extra pass."""
-    reader = spark.read.option("header", True).options(**TEXT_RULES).options(multiLine=True, emptyValue="")
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred by an extra pass.
+
+    Cells may hold newlines, for which a file is read by one task; ``multi_line=False`` splits
+    large files of which no cell holds one. The mark ``\\N`` is null and ``\\\\N`` the text of the mark.
+    """
+    reader = spark.read.option("header", True).options(**TEXT_RULES).options(multiLine=multi_line, emptyValue="")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    return _each_text(reader.csv(path), MARK_READ, "$1")
+
+
+def _each_text(df: DataFrame, pattern: str, new: str) -> DataFrame:
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[F.regexp_replace(named(c), pattern, new).alias(c) if c in texts else named(c) for c in df.columns])
 
 
 def csv_safe(df: DataFrame) -> DataFrame:
     """Vector and array columns as JSON text, because CSV cells hold scalars only."""
     cols = []
     for field in df.schema.fields:
-        col = F.col(field.name)
+        col = named(field.name)
         kind = field.dataType.typeName()
         if kind in ("udt", "vectorudt"):
             col = F.to_json(vector_to_array(col))
         elif kind in ("array", "map", "struct"):
             col = F.to_json(col)
         cols.append(col.alias(field.name))
-    return df.select(*cols)
+    return _each_text(df.select(*cols), MARK_WRITTEN, r"\\$1")
 
 
 def write_csv(

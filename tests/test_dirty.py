@@ -1,11 +1,12 @@
 """NaN, null, constant and awkward text in the operators for tables."""
 
 import math
+from decimal import Decimal
 
 from conftest import bag
 from pyspark.sql import functions as F
 
-from prepflow.operators import metrics, mutate, outliers, sampling, scale, select
+from prepflow.operators import aggregate, metrics, mutate, outliers, sampling, scale, select
 from prepflow.sources import files, tables
 from prepflow.sources.scratch import clear_scratch, scratch_path, settle
 
@@ -51,12 +52,27 @@ def test_split_fraction_is_exact(spark):
 
 
 def test_csv_keeps_text(spark):
-    rows = [(1, "line one\nline two"), (2, ""), (3, " pad "), (4, None), (5, 'quo"te, comma'), (6, "back\\slash"), (7, "a\r\nb")]
+    rows = [(1, "line one\nline two"), (2, ""), (3, " pad "), (4, None), (5, 'quo"te, comma'), (6, "back\\slash"), (7, "a\r\nb"), (8, "\\N"), (9, "\\\\N"), (10, "x\\N"), (11, "N")]
     df = spark.createDataFrame(rows, "id long, text string")
     path = files.write_csv(df, scratch_path(spark, "csv"))
     assert bag(files.read_csv(spark, path, df.schema)) == sorted(rows)
 
 
+def test_csv_of_dotted_names_without_newlines(spark):
+    df = spark.createDataFrame([("\\N", 1), (None, 2)], "`a.b` string, `c d` int")
+    path = files.write_csv(df, scratch_path(spark, "csv"))
+    assert bag(files.read_csv(spark, path, df.schema, multi_line=False)) == [(None, 2), ("\\N", 1)]
+
+
+def test_decimals_are_profiled_as_numbers(spark):
+    values = ["9.00", "10.00", "-2.50", "9.00", "10.00", None, "-2.50"]
+    df = spark.createDataFrame([(None if v is None else Decimal(v), None if v is None else Decimal(v)) for v in values], "a decimal(9,2), `b.c` decimal(38,2)")
+    assert bag(aggregate.mode_per_column(df, df.columns)) == [("a", "-2.50", 2), ("b.c", "-2.50", 2)]
+    above = df.where("a > 0")
+    assert bag(aggregate.mode_per_column(above, df.columns)) == [("a", "9.00", 2), ("b.c", "9.00", 2)]
+    assert bag(aggregate.distinct_profile(df), "column_name", "distinct_count", "rows") == [("a", 3, 7), ("b.c", 3, 7)]
+
+
 def test_replace_table_reads_the_old_one_and_drops_it(spark):
     spark.range(3).write.mode("overwrite").saveAsTable("numbers_to_replace")
     out = tables.replace_table(spark.table("numbers_to_replace").where("id > 0"), "numbers_to_replace")
