@@ -8,7 +8,9 @@ place; one that lies inside an accepted detection is suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -139,11 +141,31 @@ def detect(words: list[bytes], rules: list[Rule]) -> list[tuple[int, int, Rule]]
         for m in rule.pattern.finditer(line):
             found.append((m.start(), m.end(), rule))
     found.sort(key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].label))
-    taken: list[tuple[int, int, Rule]] = []
+    taken, outer = [], Intervals()
     for a, b, rule in found:
-        if not any(x <= a and b <= y for x, y, _ in taken):
+        if not outer.hold(a, b):
+            outer.add(a, b)
             taken.append((a, b, rule))
-    return sorted(((line.count(b" ", 0, a), line.count(b" ", 0, b) + 1, r) for a, b, r in taken), key=lambda x: x[:2])
+    starts = [0, *accumulate(len(w) + 1 for w in words[:-1])]
+    return sorted(((bisect_right(starts, a) - 1, bisect_left(starts, b), r) for a, b, r in taken), key=lambda x: x[:2])
+
+
+class Intervals:
+    """Intervals of which none holds another, so that their starts and ends ascend together and one look tells containment."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def hold(self, a: int, b: int) -> bool:
+        i = bisect_right(self.starts, a) - 1
+        return i >= 0 and self.ends[i] >= b
+
+    def add(self, a: int, b: int) -> None:
+        """Add one that no other holds; those that it holds are no longer needed."""
+        i = bisect_left(self.starts, a)
+        j = bisect_right(self.ends, b, lo=i)
+        self.starts[i:j], self.ends[i:j] = [a], [b]
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -153,7 +175,7 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
         parts = phrase.encode().split()
         if present.issuperset(parts):
             at = -1
-            while parts[0] in words[at + 1 :]:
+            for _ in range(words.count(parts[0])):
                 at = words.index(parts[0], at + 1)
                 if words[at : at + len(parts)] == parts:
                     found.append((at, label))
