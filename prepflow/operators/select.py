@@ -6,6 +6,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prepflow.functions.tails import log_chi_square_tail, log_f_tail
 from prepflow.operators.aggregate import VALUE, cells, column_name, known
 from prepflow.sources.scratch import settle
 
@@ -41,6 +42,11 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
     Infinite where the classes part perfectly, 0 for a constant or single-class feature.
     """
+    return _anova(df, features, label).select("column_name", "f_value")
+
+
+def _anova(df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """The F statistic of each feature with the classes and the rows that it has values for."""
     stats = [f(c).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))]
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(*stats)
     rows = F.array(
@@ -66,15 +72,43 @@ def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:
         F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("total") - F.col("k"))
     )
     f = F.when((F.col("within") == 0) & (F.col("between") > 0), F.lit(float("inf"))).otherwise(F.coalesce(ratio, F.lit(0.0)))
-    return sums.select("column_name", f.alias("f_value"))
+    return sums.select("column_name", f.alias("f_value"), "k", "total")
 
 
 def top_by_anova(df: DataFrame, features: list[str], label: str, n: int) -> list[str]:
-    """The ``n`` features with the largest F. All share one pair of degrees of
-    freedom when none has nulls, so this is also the order of the p-values.
+    """The ``n`` features least likely to be unrelated to the label, by ``anova_p``."""
+    return [name for name, _ in anova_p(df, features, label)[:n]]
+
+
+def anova_p(df: DataFrame, features: list[str], label: str) -> list[tuple[str, float]]:
+    """Features with the logarithm of their F statistic's p-value, smallest first; then by F and name.
+
+    Each feature counts its own classes and rows, so null counts may differ. Features without
+    any value come last with 0, as do constant ones. One row a feature comes to the driver.
     """
-    ranked = anova_f(df, features, label).orderBy(F.col("f_value").desc(), F.col("column_name")).limit(n)
-    return [r.column_name for r in ranked.collect()]
+    rows = {r.column_name: r for r in _anova(df, features, label).collect()}
+    ranked = []
+    for c in features:
+        r = rows.get(c)
+        ranked.append((log_f_tail(r.f_value, r.k - 1, r.total - r.k), -r.f_value, c) if r else (0.0, 0.0, c))
+    return [(c, p) for p, _, c in sorted(ranked)]
+
+
+def chi_square_p(df: DataFrame, features: list[str], label: str) -> list[tuple[str, float]]:
+    """Features with the logarithm of their chi-square p-value, smallest first; then by statistic and name.
+
+    The features may have any number of values, of any type. One row a feature comes to the driver.
+    """
+    rows = {r.column_name: r for r in chi_square_stats(df, features, label).collect()}
+    ranked = []
+    for c in features:
+        r = rows.get(c)
+        ranked.append((log_chi_square_tail(r.statistic, r.df), -r.statistic, c) if r else (0.0, 0.0, c))
+    return [(c, p) for p, _, c in sorted(ranked)]
+
+
+def top_by_chi_square(df: DataFrame, features: list[str], label: str, n: int) -> list[str]:
+    return [name for name, _ in chi_square_p(df, features, label)[:n]]
 
 
 def select_top(df: DataFrame, features: list[str], label: str, n: int, kind: str) -> tuple[DataFrame, list[str]]:
