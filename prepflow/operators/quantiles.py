@@ -62,7 +62,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], points: list[float], digi
     Nulls and NaN are ignored; a column without values gives ``None``. Integers come back as
     integers, decimals as decimals, floats as floats. All columns and points share each
     scan; a task holds at most 2 ** ``digit_bits`` counts for each of them. There are at most
-    64 / ``digit_bits`` scans a word after one for counts and ends: numbers have one word, decimals of more than 18 digits up to five.
+    64 / ``digit_bits`` scans a word after one for counts and ends: numbers have one word, decimals of more than 18 digits up to six.
     """
     if not 1 <= digit_bits <= 16:
         raise ValueError("digit_bits must be from 1 to 16")
