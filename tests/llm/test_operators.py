@@ -137,6 +137,39 @@ def test_set_join_equals_brute_force(spark, monkeypatch, n, t, frequent):
     assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, n, Fraction(t))
 
 
+def test_set_join_takes_subsets_where_lists_are_long(spark, monkeypatch):
+    """Short texts over few words: the cost alone chooses proper subsets, and the links come from them."""
+    rng = random.Random(5)
+    data = [(i, " ".join(sorted(rng.sample([f"v{k}" for k in range(40)], 6)))) for i in range(400)]
+    data += [(1000 + i, " ".join([*x.split()[:5], f"u{i}"])) for i, (_, x) in enumerate(data[:60])]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    chosen, real = [], set_join.boundary
+    monkeypatch.setattr(set_join, "boundary", lambda *a, **k: chosen.append(real(*a, **k)) or chosen[-1])
+    found = set_join.join_sets(df, n=1, threshold="0.7").drop("rid")
+    assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, 1, Fraction("0.7"))
+    t = Fraction("0.7")
+    assert chosen[0] >= 6 and min(set_join.overlaps(6, t, chosen[0])) < 6
+    assert len({r[2] for r in found.collect()}) < len(data)
+
+
+@pytest.mark.parametrize("links", [False, True])
+def test_unknown_long_lists_are_cut_into_blocks(spark, monkeypatch, links):
+    """No shingle is known to be frequent, so lists turn out to be long only when they pass."""
+    monkeypatch.setattr(set_join, "LIST", 3)
+    monkeypatch.setattr(set_join, "BLOCK", 4)
+    data = near_copies(13, size=18)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    found = set_join.join_sets(df, n=2, threshold="0.8", least_frequent=10**6, with_links=links).drop("rid", "n_links")
+    assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, 2, Fraction("0.8"))
+
+
+def test_lists_of_equal_members_are_looked_at_once(spark):
+    rows = [(sig, node) for sig in range(5) for node in range(40)] + [(9, node) for node in range(39)] + [(10, 1)]
+    df = spark.createDataFrame(rows, "sig long, node long")
+    assert sorted(r.sig for r in set_join.block_counts(df, each=False).collect()) == [0, 9]
+    assert sorted(r.sig for r in set_join.block_counts(df, each=True).collect()) == [0, 1, 2, 3, 4, 9]
+
+
 def test_set_join_of_awkward_rows(awkward, empty):
     found = collections.Counter(map(tuple, set_join.join_sets(awkward, n=3, threshold="0.9").drop("rid").collect()))
     assert found == brute_classes([r[:2] for r in AWKWARD], 3, Fraction("0.9"))
@@ -159,6 +192,7 @@ def test_long_lists_are_cut_into_blocks(spark):
 @pytest.mark.parametrize(("n", "t", "frequent", "block", "small"), [(3, "0.9", 32, 768, None), (5, "0.8", 3, 4, None), (1, "0.8", 4, 5, 14), (2, "0.8", 1, 3, 0)])
 def test_set_join_counts_every_link(spark, monkeypatch, n, t, frequent, block, small):
     monkeypatch.setattr(set_join, "BLOCK", block)
+    monkeypatch.setattr(set_join, "LIST", block)
     if small is not None:
         monkeypatch.setattr(set_join, "boundary", lambda *a, **k: small)
     data = near_copies(11, size=18)
