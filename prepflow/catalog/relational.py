@@ -150,6 +150,16 @@ def inline_rows(spark, folder):
     return joined.groupBy("code").agg(F.count("*").alias("n"))
 
 
+@query("table_publish", f"select *, 0 as version from {EMP} where id < 10 union all select *, 1 as version from {EMP} where id >= 10")
+def table_publish(spark, folder):
+    """A second version made from the first, which stays for its readers."""
+    root = scratch_path(spark, "published")
+    tables.publish(employees(spark, folder).withColumn("version", F.lit(0)), root)
+    changed = tables.read_published(spark, root).withColumn("version", F.when(F.col("id") >= 10, 1).otherwise(F.col("version")))
+    tables.publish(changed, root)
+    return tables.read_published(spark, root)
+
+
 @query("table_replace", f"select * from (select *, 0 as version from {EMP} where id < 10) union all select *, 1 as version from {EMP} where id >= 10")
 def table_replace(spark, folder):
     """A table is written, then replaced by rows computed from itself."""

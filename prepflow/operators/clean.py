@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepflow.functions.scalars import missing_as_null
+from prepflow.functions.scalars import missing_as_null, named
 from prepflow.operators.aggregate import distinct_profile, mode_per_column
 from prepflow.operators.columns import TypeSplit, split_by_type
 from prepflow.operators.quantiles import exact_quantiles
@@ -24,9 +25,39 @@ def cardinality_decisions(df: DataFrame, lower: float, upper_fraction: float, wh
     return distinct_profile(df).select("column_name", "distinct_count", drop.alias("dropped"))
 
 
+def undecided_columns(
+    df: DataFrame, lower: float, upper_fraction: float, whole_upper: bool = False, rsd: float = 0.02
+) -> tuple[list[str], list[str]]:
+    """Columns that sketches prove far enough above the upper bound to be dropped, and those too near a bound to tell.
+
+    All columns are sketched in one scan, whose partial results are a few kilobytes a column and task. A true count is
+    taken to lie within six standard errors of its estimate, and two values more: beyond that a decision is safe.
+    Columns of few values are always near; counting them exactly is cheap, as their values combine before the shuffle.
+    """
+    kinds = dict(df.dtypes)
+    sketches = [F.approx_count_distinct(_hashable(c, kinds[c]), rsd) for c in df.columns]
+    rows, *estimates = df.agg(F.count(F.lit(1)), *sketches).first()
+    upper = upper_fraction * rows
+    upper = math.floor(upper) if whole_upper else upper
+    gone, near = [], []
+    for c, estimate in zip(df.columns, estimates, strict=True):
+        low, high = estimate * (1 - 6 * rsd) - 2, estimate * (1 + 6 * rsd) + 2
+        if low >= upper and low > 0:
+            gone.append(c)
+        elif low <= lower or high >= upper:
+            near.append(c)
+    return gone, near
+
+
+def _hashable(name: str, dtype: str):
+    value = missing_as_null(name, dtype)
+    return value.cast("string") if dtype.startswith(("map", "array", "struct", "interval", "variant")) else value
+
+
 def drop_by_cardinality(df: DataFrame, lower: float, upper_fraction: float) -> tuple[DataFrame, list[str]]:
-    """``df`` without constant and near-unique columns, and the names dropped."""
-    return _drop_decided(df, cardinality_decisions(df, lower, upper_fraction), [])
+    """``df`` without constant and near-unique columns, and the names dropped. The decisions are those of exact
+    counts, but only columns near a bound are counted exactly. A table without rows keeps its columns."""
+    return _drop_by_bounds(df, lower, upper_fraction, False, [])
 
 
 def drop_by_cardinality_percent(
@@ -37,14 +68,17 @@ def drop_by_cardinality_percent(
     The lower bound is ``int(lower_percent / 100)`` distinct values, so below
     100 it only drops columns that hold nothing but nulls.
     """
-    decided = cardinality_decisions(df, int(lower_percent / 100), upper_percent / 100, whole_upper=True)
-    return _drop_decided(df, decided, dates)
+    return _drop_by_bounds(df, int(lower_percent / 100), upper_percent / 100, True, dates)
 
 
-def _drop_decided(df: DataFrame, decided: DataFrame, also: list[str]) -> tuple[DataFrame, list[str]]:
-    gone = {r[0] for r in decided.where("dropped").select("column_name").collect()} | set(also)
+def _drop_by_bounds(df: DataFrame, lower: float, upper_fraction: float, whole_upper: bool, also: list[str]) -> tuple[DataFrame, list[str]]:
+    far, near = undecided_columns(df, lower, upper_fraction, whole_upper)
+    gone = {*far, *also}
+    if near:
+        decided = cardinality_decisions(df.select(*[named(c) for c in near]), lower, upper_fraction, whole_upper)
+        gone |= {r[0] for r in decided.where("dropped").select("column_name").collect()}
     dropped = [c for c in df.columns if c in gone]
-    return df.drop(*dropped), dropped
+    return df.select(*[named(c) for c in df.columns if c not in gone]), dropped
 
 
 @dataclass

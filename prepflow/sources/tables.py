@@ -52,6 +52,56 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.table(name)
 
 
+def publish(df: DataFrame, root: str, keep: int = 2) -> str:
+    """Makes the rows of ``df`` the current version of the table in folder ``root``; ``df`` may read the one before.
+
+    A version is written whole into a folder of its own. Then one empty file, named by its number and folder, makes it
+    current: a reader finds the version before or this one, never a part and never nothing, on any store that Spark
+    writes to. A write that fails leaves the table as it was. Of two writers at once both versions are whole, and the
+    greater name is current. The last ``keep`` versions besides stay for readers that have begun; older ones are deleted,
+    so a reader fails if more than ``keep`` versions are published while it reads.
+    """
+    if keep < 1:
+        raise ValueError("readers that have begun need the version before")
+    spark = df.sparkSession
+    path, fs = _at(spark, root)
+    marks = _marks(spark, root)
+    number = int(marks[-1].split("-")[0]) + 1 if marks else 1
+    name = f"{number:012d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/versions/{name}")
+    fs.create(path("current", name), False).close()
+    for old in marks[: max(0, len(marks) - keep)]:
+        fs.delete(path("current", old), False)
+        fs.delete(path("versions", old), True)
+    return name
+
+
+def read_published(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """The current version of a published table, or one of those still kept; the frame goes on reading that version."""
+    marks = _marks(spark, root)
+    if not marks or version is not None and version not in marks:
+        raise ValueError(f"{root} has no published version {version or ''}".rstrip())
+    return spark.read.parquet(f"{root}/versions/{version or marks[-1]}")
+
+
+def published_versions(spark: SparkSession, root: str) -> list[str]:
+    """The names of the versions kept, oldest first."""
+    return _marks(spark, root)
+
+
+def _at(spark: SparkSession, root: str):
+    """A maker of paths below ``root``, and its file system."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = make(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return lambda *parts: make("/".join((root, *parts))), fs
+
+
+def _marks(spark: SparkSession, root: str) -> list[str]:
+    path, fs = _at(spark, root)
+    folder = path("current")
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def append_rows(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("append").saveAsTable(name)
     return df.sparkSession.table(name)

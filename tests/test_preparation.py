@@ -373,3 +373,31 @@ def test_hash_split_is_disjoint_and_complete(spark):
 def test_any_quantile(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert quantiles.exact_quantiles(df, ["x"], [p])["x"] == [disc(values, p)]
+
+
+def test_sketches_decide_columns_far_from_the_bounds(spark):
+    """The decisions are those of exact counts, and only columns near a bound are counted."""
+    df = spark.range(20_000).selectExpr(
+        "id", "id % 5000 AS quarter", "id % 17900 AS below", "id % 18100 AS above", "1 AS one", "cast(NULL AS double) AS empty",
+        "id % 2 AS two", "CASE WHEN id % 3 = 0 THEN double('NaN') ELSE id % 7 END AS nan", "id % 9000 AS `dotted.name`", "array(id) AS list",
+    )
+    gone, near = clean.undecided_columns(df, 1, 0.9)
+    assert set(near) == {"below", "above", "one", "empty", "two", "id", "list"} - set(gone) and not {"quarter", "dotted.name"} & {*gone, *near}
+    kept, dropped = clean.drop_by_cardinality(df, 1, 0.9)
+    exact = {r.column_name for r in clean.cardinality_decisions(df, 1, 0.9).where("dropped").collect()}
+    assert set(dropped) == exact == {"id", "above", "one", "empty", "list"}
+    assert kept.columns == ["quarter", "below", "two", "nan", "dotted.name"]
+    gone, near = clean.undecided_columns(df.select("id", "quarter", "list"), 1, 0.5)
+    assert gone == ["id", "list"] and near == []
+
+
+@pytest.mark.parametrize(("lower", "upper", "whole"), [(1, 0.9, False), (0, 0.8, True), (30, 0.5, True), (0, 0.0, False), (400, 2.0, False)])
+def test_sketched_decisions_equal_exact_ones(spark, lower, upper, whole):
+    df = spark.range(700).selectExpr("id", *[f"id % {n} AS m{n}" for n in (1, 2, 29, 31, 340, 349, 351, 400, 560, 629, 631)], "cast(NULL AS int) AS empty")
+    exact = {r.column_name for r in clean.cardinality_decisions(df, lower, upper, whole).where("dropped").collect()}
+    assert set(clean._drop_by_bounds(df, lower, upper, whole, [])[1]) == exact
+
+
+def test_a_table_without_rows_keeps_its_columns(spark):
+    kept, dropped = clean.drop_by_cardinality(spark.range(0).selectExpr("id", "id AS x"), 1, 0.9)
+    assert kept.columns == ["id", "x"] and dropped == []

@@ -207,3 +207,46 @@ def test_scalars(spark):
     assert replaced == "a.b[min=1145.5)"
     values = spark.createDataFrame([([0.25, -0.75],)], "a array<double>")
     assert values.select(scalars.array_max_abs_percent(F.col("a"))).first()[0] == 75.0
+
+
+def test_published_versions_are_whole_for_every_reader(spark, people, tmp_path):
+    root = str(tmp_path / "people")
+    with pytest.raises(ValueError, match="no published version"):
+        tables.read_published(spark, root)
+    first = tables.publish(people, root)
+    begun = tables.read_published(spark, root)
+    tables.publish(begun.where("id > 1"), root)  # reads the version it follows
+    assert ids(tables.read_published(spark, root)) == [2, 3, 4]
+    assert ids(begun) == [1, 2, 3, 4] == ids(tables.read_published(spark, root, first))
+    (tmp_path / "people" / "versions" / "unfinished").mkdir()  # a write that died before it was made current
+    assert ids(tables.read_published(spark, root)) == [2, 3, 4]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.publish(people.selectExpr("id div (id - id) AS id"), root)
+    assert ids(tables.read_published(spark, root)) == [2, 3, 4]
+    tables.publish(people.where("id = 3"), root)
+    tables.publish(people.where("id = 9"), root, keep=1)
+    assert ids(tables.read_published(spark, root)) == [] and first not in tables.published_versions(spark, root)
+    assert len(tables.published_versions(spark, root)) == 2
+    with pytest.raises(ValueError, match="no published version"):
+        tables.read_published(spark, root, first)
+
+
+def test_a_reader_during_publishing_always_finds_one_version(spark, tmp_path):
+    import threading
+
+    root, done, seen = str(tmp_path / "busy"), threading.Event(), []
+    tables.publish(spark.range(50).selectExpr("id", "0 AS version"), root)
+
+    def read():
+        while not done.is_set():
+            seen.append(tables.read_published(spark, root).groupBy("version").count().collect())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for v in range(1, 6):
+            tables.publish(spark.range(50).selectExpr("id", f"{v} AS version"), root, keep=6)
+    finally:
+        done.set()
+        reader.join()
+    assert seen and all(len(rows) == 1 and rows[0]["count"] == 50 for rows in seen)
