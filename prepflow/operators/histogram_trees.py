@@ -291,15 +291,17 @@ def fit_boosted(
     """Softmax boosting: each round grows one tree a class on gradients p - y and curvatures p (1 - p); a leaf weighs -G / (H + ridge).
 
     The classes are 0, 1, ... as integers, any number; rows with a null or negative label are left out. Scores
-    start at the classes' log shares. A row's scores are written along with it once a round.
+    start at the classes' log shares. Rows of equal bins and label have equal scores and statistics all along, so
+    they are one row with their number, and its scores are written along with it once a round.
     """
     if bins > 256:
         raise ValueError("a bin is a byte: at most 256 bins")
     good = df.where(F.col(f"`{label}`").cast("int") >= 0)
     thresholds = fit_bins(good, features, bins) if thresholds is None else thresholds
     spark, n = df.sparkSession, len(features)
-    rows, path = settle_at(binned(good, features, thresholds, [label], key), "binned")
-    counts = {r["c"]: r["n"] for r in rows.groupBy(F.col("labels")[0].alias("c")).agg(F.count("*").alias("n")).collect()}
+    same = binned(good, features, thresholds, [label], key).groupBy("bins", "labels").agg(F.count("*").alias("n"))
+    rows, path = settle_at(same, "binned")
+    counts = {r["c"]: r["n"] for r in rows.groupBy(F.col("labels")[0].alias("c")).agg(F.sum("n").alias("n")).collect()}
     k = max(counts, default=0) + 1
     share = np.array([counts.get(c, 0) + 1.0 for c in range(k)])
     model = Boosted(features, thresholds, label, k, np.log(share / share.sum()), [], [])
@@ -310,9 +312,9 @@ def fit_boosted(
         return batch.column("scores").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
 
     def statistics(batch):
-        p, y = softmax(scores_of(batch)), labels_of(batch)[:, 0]
+        p, y, times = softmax(scores_of(batch)), labels_of(batch)[:, 0], batch.column("n").to_numpy()
         for c in range(k):
-            yield np.stack([p[:, c] - (y == c), p[:, c] * (1 - p[:, c])], axis=1)
+            yield np.stack([p[:, c] - (y == c), p[:, c] * (1 - p[:, c])], axis=1) * times[:, None]
 
     def part(s):
         return float(s[0] ** 2 / (s[1] + ridge))
@@ -327,13 +329,13 @@ def fit_boosted(
                 for c, (tree, weight) in enumerate(trees):
                     s[:, c] += weight[tree.nodes(b)]
                 scores = pa.ListArray.from_arrays(pa.array(np.arange(0, s.size + 1, k, dtype=np.int32)), pa.array(s.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("bins"), batch.column("labels"), scores], names=["rid", "bins", "labels", "scores"])
+                yield pa.RecordBatch.from_arrays([batch.column("bins"), batch.column("labels"), batch.column("n"), scores], names=["bins", "labels", "n", "scores"])
 
         return run
 
     right = F.element_at("scores", F.col("labels")[0] + 1)
     top = F.array_max("scores")
-    loss = F.avg(F.log(F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - top))) + top - right)
+    loss = F.sum((F.log(F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - top))) + top - right) * F.col("n")) / F.sum("n")
     for _ in range(rounds):
         model.log_loss.append(rows.agg(loss).first()[0])
         grown = grow(rows, k, depth, n, bins, statistics, 2, gain, lambda *_: True)
@@ -345,7 +347,7 @@ def fit_boosted(
             trees.append((tree, weight))
         model.rounds.append(trees)
         old = path
-        rows, path = settle_at(rows.mapInArrow(advance(trees), BINNED + ", scores array<double>"), "scores")
+        rows, path = settle_at(rows.mapInArrow(advance(trees), "bins binary, labels array<int>, n long, scores array<double>"), "scores")
         discard(spark, old)
     model.log_loss.append(rows.agg(loss).first()[0])
     discard(spark, path)

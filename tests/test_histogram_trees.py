@@ -118,3 +118,15 @@ def test_null_labels_and_empty_tables(spark, rows):
     assert model.predict(some).count() == 600
     none = rows.where("id < 0")
     assert ht.fit_joint_forest(none, ["x"], ["a"], ["id"], n_trees=2).predict(rows).where("a_predicted = 0").count() == 600
+
+
+def test_boosting_moves_equal_rows_once(rows, monkeypatch):
+    written = []
+    settle_at = ht.settle_at
+    monkeypatch.setattr(ht, "settle_at", lambda df, label: written.append(settle_at(df, label)[0].count()) or settle_at(df, label))
+    many = rows.crossJoin(rows.sparkSession.range(5).withColumnRenamed("id", "copy"))
+    model = ht.fit_boosted(many, ["x", "z"], "a", ["id", "copy"], rounds=2, depth=2, thresholds=CUTS)
+    kinds = rows.select("x", "z", "a").distinct().count()
+    assert written == [kinds] * 3
+    x, y = plain_bins(many)
+    assert np.allclose(model.scores(x.astype(np.uint8)), plain_boosting(x, y[:, 0], 2, 2, 0.3, 1.0), atol=1e-6)
