@@ -185,3 +185,33 @@ def test_feature_rows_are_spread_only_when_needed(spark):
     assert models.spread(one, ["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 50)
     assert models.spread(many, ["id"]) is many
+
+
+@pytest.mark.parametrize("algorithm, label", [("GBTC", "y"), ("GBTR", "amount")])
+def test_boosting_passes_over_equal_rows_once(rows, monkeypatch, algorithm, label):
+    df = rows.select("id", "x", "g", label)
+    params = {"maxIter": 3, "maxBins": 128}
+    fitted_on = []
+    plain = models.fit_model
+    monkeypatch.setattr(flows, "fit_model", lambda prepared, *a: fitted_on.append(prepared.count()) or plain(prepared, *a))
+    counted = flows.predict(df, flows.train(df, label, ["id"], algorithm, params))
+    one_by_one = flows.predict(df, flows.train(df, label, ["id"], algorithm, {**params, "minInstancesPerNode": 1}))
+    assert fitted_on[0] <= 100 < fitted_on[1]
+    a, b = (np.array(bag(out, "id", "prediction")) for out in (counted, one_by_one))
+    assert np.allclose(a, b, atol=1e-6)
+
+
+def test_rows_that_differ_or_lack_a_label_are_not_counted(rows):
+    single = rows.withColumn("x", F.col("id") * 1.5)
+    assert models.count_equal(single, "amount", ("id", "y"), "GBTR", None) is single
+    gaps = rows.withColumn("amount", F.when(F.col("id") > 3, F.col("amount")))
+    assert models.count_equal(gaps, "amount", ("id", "y"), "GBTR", None) is gaps
+    assert models.count_equal(rows, "amount", ("id", "y"), "RFR", None) is rows
+    assert models.count_equal(rows, "amount", ("id", "y"), "GBTR", None).agg(F.sum("_weight")).first()[0] == 1500
+
+
+def test_pieces_of_a_training_table_have_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "PIECE_ROWS", 100, raising=False)
+    df = models.spread(spark.range(1000).coalesce(1), ["id"])
+    assert df.rdd.getNumPartitions() == 10 and df.count() == 1000
+    assert models.spread(spark.range(0), ["id"]).count() == 0
