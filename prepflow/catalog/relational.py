@@ -144,8 +144,9 @@ PRIORITY_CODES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("5-LOW", 5)]
     "as m(o_orderpriority, code) using (o_orderpriority) group by m.code",
 )
 def inline_rows(spark, folder):
-    """Literal rows become a frame and are joined to a table."""
-    literal = spark.createDataFrame(PRIORITY_CODES, "o_orderpriority string, code int")
+    """Literal rows become a frame and are joined to a table. They come from the driver, so they are
+    small and broadcast; by key, the table's rows would be sorted in as many tasks as there are codes."""
+    literal = F.broadcast(spark.createDataFrame(PRIORITY_CODES, "o_orderpriority string, code int"))
     joined = joins.join_inner([orders(spark, folder), literal], "o_orderpriority")
     return joined.groupBy("code").agg(F.count("*").alias("n"))
 

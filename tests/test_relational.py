@@ -250,3 +250,10 @@ def test_a_reader_during_publishing_always_finds_one_version(spark, tmp_path):
         done.set()
         reader.join()
     assert seen and all(len(rows) == 1 and rows[0]["count"] == 50 for rows in seen)
+
+
+def test_literal_rows_do_not_shuffle_the_table(spark):
+    from prepflow.catalog import relational
+
+    plan = relational.inline_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
