@@ -9,6 +9,7 @@ rows of a stored table, so they lie on any file system and survive lost executor
 
 from __future__ import annotations
 
+import os
 import zlib
 from dataclasses import dataclass
 
@@ -41,11 +42,14 @@ class Encoder(dict):
     Blanks end a word in this vocabulary, and so does ASCII punctuation after a letter,
     so words can be encoded apart from their text. New words go through the tokenizer
     many at a time; the ids that end a word part them again. Other pieces go one by one.
+    The tokenizer's own threads stay off, unless set otherwise: tasks share the cores already, and
+    each thread keeps an arena of memory in each worker.
     """
 
     def __init__(self, path: str, end_id: int, most_bytes: int = 40_000_000):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocabulary <= 60_000 else "<u4")

@@ -2,7 +2,10 @@ import collections
 import hashlib
 import math
 import mmap
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -241,3 +244,20 @@ def test_only_movers_migrate(spark):
     assert first.where("moved = 0").count() == 0
     again = vector_codes.assign(first.drop("moved"), vector_codes.update(first, books, width), width)
     assert 0 < again.where("moved = 1").count() < again.where("moved = 0").count()
+
+
+def test_encoding_starts_no_threads():
+    code = (
+        "import os, public_tokenizers\n"
+        "from prepflow.llm.tokens import Encoder\n"
+        "encoder = Encoder(public_tokenizers.path('word_bpe_49k.json'), 2)\n"
+        "count = lambda: len(os.listdir('/proc/self/task'))\n"
+        "before = count()\n"
+        "letters = 'abcdefghijklmnopqrstuvwxyz'\n"
+        "encoder.encode([' '.join(a + b + c + 'x' for a in letters for b in letters for c in letters)])\n"
+        "print(count() - before)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["0"], done.stderr
