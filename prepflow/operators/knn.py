@@ -3,10 +3,11 @@
 Training vectors are grouped into cells around pivot vectors. A cell's radii give,
 for each query, an upper bound for the distance to its k-th neighbour and a lower
 bound for every cell (triangle inequality), so a query visits only cells that can
-hold a neighbour. A cell's rows and its visitors are cut into blocks of bounded size;
-a task meets one block of each and returns at most k neighbours per query. A training
-row is copied once for each block of visitors of its own cell, and not at all when
-nobody visits the cell.
+hold a neighbour. Cells near each other form groups, and a query is sent once to a group,
+however many of its cells it visits. A group's rows and its visitors are cut into blocks of bounded size;
+a task meets one block of each, cell by cell, and returns at most k neighbours per query. A training
+row is copied once for each block of visitors of its own group, and not at all when
+nobody visits the group.
 
 The idea follows Lu, Shen, Chen and Ooi, "Efficient processing of k nearest
 neighbor joins using MapReduce", PVLDB 2012.
@@ -75,6 +76,15 @@ def _nearest(asked: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray,
     return q[best], p[best], exact[best]
 
 
+def _best(parts: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (row of asked, row of points, distance), the ``k`` nearest points of each asked row; ties go by the order of points."""
+    q, p, distance = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((p, distance, q))
+    q, p, distance = q[order], p[order], distance[order]
+    best = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[best], p[best], distance[best]
+
+
 def nearest_neighbours(
     train: DataFrame, queries: DataFrame, key: str, vector: str, label: str, k: int = 5, skip_self: bool = False
 ) -> DataFrame:
@@ -113,52 +123,74 @@ def nearest_neighbours(
     ).orderBy("cell").toPandas()
     ids, near, far, sizes = (cells[c].to_numpy() for c in ("cell", "near", "far", "n"))
 
-    def open_cells(v):
-        d = _distances(v, pivots[ids])
+    # a query travels to a group of cells once, however many of them it visits
+    n_groups = max(-(-int(sizes.sum()) // BLOCK_ROWS), 3 * asked.sparkSession.sparkContext.defaultParallelism)
+    group_of = _distances(pivots[ids], pivots[ids[:n_groups]]).argmin(1)
+
+    def least_distance(v, some=slice(None)):
+        d = _distances(v, pivots[ids[some]])
+        return d, np.maximum(np.maximum(d - far[some], near[some] - d), 0.0)
+
+    def open_groups(v):
+        d, least = least_distance(v)
         reach = d + far
         order = reach.argsort(1)
         enough = sizes[order].cumsum(1) >= need
         at = np.where(enough.any(1), enough.argmax(1), len(ids) - 1)
         bound = np.take_along_axis(reach, order, 1)[np.arange(len(d)), at]
-        least = np.maximum(np.maximum(d - far, near - d), 0.0)
         # four measured distances take part in the comparison
-        slack = 4 * _rounding(_lengths(v) + 2 * reach_of_pivots + far.max(), dims) + TIE
-        return [ids[m].tolist() for m in least <= (bound + slack)[:, None]]
+        bound += 4 * _rounding(_lengths(v) + 2 * reach_of_pivots + far.max(), dims) + TIE
+        return [np.unique(group_of[m]).tolist() for m in least <= bound[:, None]], bound
 
     def to_candidates(batches):
         for pdf in batches:
             if len(pdf):
                 v = _matrix(pdf["v"]) - centre
-                pdf["cells"] = [c for s in _slices(len(v)) for c in open_cells(v[s])]
+                found = [open_groups(v[s]) for s in _slices(len(v))]
+                pdf["groups"] = [g for groups, _ in found for g in groups]
+                pdf["bound"] = np.concatenate([bound for _, bound in found])
                 yield pdf
 
     asked_fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema.fields)
-    visits = settle(asked.mapInPandas(to_candidates, f"{asked_fields}, cells array<int>"), "knn-visits")
-    # one row for each cell: how many blocks its rows and its visitors are cut into
+    visits = settle(asked.mapInPandas(to_candidates, f"{asked_fields}, groups array<int>, bound double"), "knn-visits")
+    groups = asked.sparkSession.createDataFrame(list(zip(ids.tolist(), group_of.tolist(), strict=True)), "cell int, grp int")
+    placed = placed.join(F.broadcast(groups), "cell")
+    # one row for each group: how many blocks its rows and its visitors are cut into
     block_count = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("bigint")
-    visitors = visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("asking"))
-    plan = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).join(visitors, "cell")
-    plan = F.broadcast(settle(plan.select("cell", block_count("n").alias("blocks"), block_count("asking").alias("chunks")), "knn-plan"))
+    visitors = visits.select(F.explode("groups").alias("grp")).groupBy("grp").agg(F.count(F.lit(1)).alias("asking"))
+    plan = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).join(visitors, "grp")
+    plan = F.broadcast(settle(plan.select("grp", block_count("n").alias("blocks"), block_count("asking").alias("chunks")), "knn-plan"))
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    left = placed.join(plan, "cell").select(
-        "id", "v", "label", "cell", F.pmod(stable_hash(F.col("id")), "blocks").alias("block"), numbers("chunks").alias("chunk")
+    left = placed.join(plan, "grp").select(
+        "id", "v", "label", "cell", "grp", F.pmod(stable_hash(F.col("id")), "blocks").alias("block"), numbers("chunks").alias("chunk")
     )
-    right = visits.select("q", "v", F.explode("cells").alias("cell")).join(plan, "cell").select(
-        "q", "v", "cell", F.pmod(stable_hash(F.col("q")), "chunks").alias("chunk"), numbers("blocks").alias("block")
+    right = visits.select("q", "v", "bound", F.explode("groups").alias("grp")).join(plan, "grp").select(
+        "q", "v", "bound", "grp", F.pmod(stable_hash(F.col("q")), "chunks").alias("chunk"), numbers("blocks").alias("block")
     )
 
     def meet(block: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        """The best of the block for each visitor, which meets only the cells within its bound."""
+        found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))  # row of some, row of block, distance
         if len(block) and len(some):
             block = block.sort_values("id")
-            t, ids_, labels = _matrix(block["v"]), block["id"].to_numpy(), block["label"].to_numpy()
-            wanted, asking = _matrix(some["v"]), some["q"].to_numpy()
-            for s in _slices(len(some)):
-                q, p, distance = _nearest(wanted[s], t, min(need, len(t)))
-                found.append(pd.DataFrame({"q": asking[s][q], "id": ids_[p], "label": labels[p], "distance": distance}))
-        return pd.concat(found) if found else pd.DataFrame({"q": [], "id": [], "label": [], "distance": []})
-
-    place = ["cell", "block", "chunk"]
+            t, cell_of = _matrix(block["v"]), block["cell"].to_numpy()
+            here = np.searchsorted(ids, np.unique(cell_of))
+            wanted, bound = _matrix(some["v"]), some["bound"].to_numpy()
+            open_to = np.concatenate([least_distance(wanted[s] - centre, here)[1] <= bound[s, None] for s in _slices(len(some))])
+            parts, held = [found], 0
+            for i, c in enumerate(ids[here]):
+                rows, visiting = np.flatnonzero(cell_of == c), np.flatnonzero(open_to[:, i])
+                for s in _slices(len(visiting)):
+                    q, p, distance = _nearest(wanted[visiting[s]], t[rows], min(need, len(rows)))
+                    parts.append((visiting[s][q], rows[p], distance))
+                    held += len(q)
+                if held > PAIRS_AT_ONCE:
+                    parts, held = [_best(parts, need)], 0
+            found = _best(parts, need)
+        q, p, distance = found
+        return pd.DataFrame({"q": some["q"].to_numpy()[q], "id": block["id"].to_numpy()[p], "label": block["label"].to_numpy()[p], "distance": distance})
+
+    place = ["grp", "block", "chunk"]
     found = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, _found_schema(points, asked))
     if skip_self:
         found = found.where(F.col("q") != F.col("id"))

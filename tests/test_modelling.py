@@ -215,3 +215,17 @@ def test_pieces_of_a_training_table_have_a_bounded_number_of_rows(spark, monkeyp
     df = models.spread(spark.range(1000).coalesce(1), ["id"])
     assert df.rdd.getNumPartitions() == 10 and df.count() == 1000
     assert models.spread(spark.range(0), ["id"]).count() == 0
+
+
+def test_a_query_travels_once_to_a_group_of_cells(spark, monkeypatch):
+    """Without clusters nearly every query visits every cell: many more cells than groups."""
+    rows = vectors(900, 12, 5, 0.0)
+    train = spark.createDataFrame(rows, "id bigint, v array<double>, y int")
+    sent = []
+    settle = knn.settle
+    monkeypatch.setattr(knn, "settle", lambda df, label: sent.append((label, settle(df, label))) or sent[-1][1])
+    near = knn.nearest_neighbours(train, train, "id", "v", "y", 3, skip_self=True)
+    visits = dict(sent)["knn-visits"]
+    travels = visits.select(F.size([c for c in visits.columns if c in ("groups", "cells")][0]).alias("n")).agg(F.max("n")).first()[0]
+    assert travels <= 3 * spark.sparkContext.defaultParallelism
+    assert bag(near, "q", "id", "rank") == brute(rows, [(i, v) for i, v, _ in rows], 3, True)
