@@ -163,6 +163,24 @@ def test_unknown_long_lists_are_cut_into_blocks(spark, monkeypatch, links):
     assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, 2, Fraction("0.8"))
 
 
+def test_only_shared_signatures_carry_histograms(spark, monkeypatch):
+    """Signatures of one set alone, or of sizes that can't be similar, don't enter the lists with histograms."""
+    data = [(i, " ".join(f"a{i}x{k}" for k in range(40 + i))) for i in range(30)]
+    data += [(100, data[5][1] + " more"), (101, " ".join(data[7][1].split()[:20]))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    held, real = [], set_join.short_lists
+    monkeypatch.setattr(set_join, "short_lists", lambda p, t: held.append(sorted(r.node for r in p.collect())) or real(p, t))
+    found = set_join.join_sets(df, n=3, threshold="0.9").drop("rid")
+    assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, 3, Fraction("0.9"))
+    assert len(set(held[0])) == 2 and len(held[0]) <= 2 * set_join.prefix_length(44, Fraction("0.9"))
+
+
+def test_shared_postings_look_at_sizes(spark):
+    rows = [(1, 10, 90), (1, 11, 100), (1, 12, 112), (2, 10, 90), (3, 11, 100), (3, 12, 112), (4, 13, 5), (4, 14, 5)]
+    found = set_join.shared_postings(spark.createDataFrame(rows, "sig long, node long, n long"), Fraction("0.9"))
+    assert sorted(map(tuple, found.collect())) == [(1, 10), (1, 11), (4, 13), (4, 14)]
+
+
 def test_lists_of_equal_members_are_looked_at_once(spark):
     rows = [(sig, node) for sig in range(5) for node in range(40)] + [(9, node) for node in range(39)] + [(10, 1)]
     df = spark.createDataFrame(rows, "sig long, node long")
