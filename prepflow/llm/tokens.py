@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,77 +33,117 @@ SHARD_SCHEMA = (
 # ---- text to ids ---------------------------------------------------------------------
 
 
-def is_word(core: str) -> bool:
-    """Latin letters only: one token word for the vocabulary, whatever stands around it."""
-    return core.isalpha() and max(core) < "ƀ" and "İ" not in core
+LATIN = "[A-Za-zªµºÀ-ÖØ-öø-įı-ſ]"  # letters that are one token word for the vocabulary, whatever stands around them
+TEXT_BYTES = 8_000_000  # of texts that are encoded together, unless one alone has more
 
 
-class Encoder(dict):
-    """Ids of texts as bytes, by way of remembered pieces between blanks.
+def gather(flat: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen ones of the runs that follow each other in ``flat``, and where each of them ends."""
+    kind = np.int32 if len(chosen) * (int(lengths.max(initial=0)) + 1) < 1 << 31 else np.int64
+    starts = (np.cumsum(lengths) - lengths).astype(kind)
+    sizes = lengths[chosen]
+    ends = np.cumsum(sizes)
+    places = np.arange(ends[-1] if len(ends) else 0, dtype=kind)
+    places += np.repeat(starts[chosen] - (ends - sizes).astype(kind), sizes)
+    return flat[places], ends
+
+
+def last_bytes(strings: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """The last bytes of each string, so many as ``sizes`` says."""
+    _, offsets, data = strings.buffers()
+    after = np.frombuffer(offsets, np.int32)[strings.offset + 1 : strings.offset + 1 + len(strings)]
+    ends = np.cumsum(sizes, dtype=np.int32)
+    places = np.repeat(after - ends, sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+    own = np.frombuffer(data, np.uint8)[places] if len(places) else np.zeros(0, np.uint8)
+    return pa.StringArray.from_buffers(len(strings), pa.py_buffer(np.r_[np.int32(0), ends].astype(np.int32)), pa.py_buffer(own))
+
+
+class Encoder:
+    """Ids of texts, by way of their different pieces between blanks.
 
     Blanks end a word in this vocabulary, and so does ASCII punctuation after a letter,
-    so words can be encoded apart from their text. New words go through the tokenizer
-    many at a time; the ids that end a word part them again. Other pieces go one by one.
+    so words can be encoded apart from their text, each once for many texts. Words go through the tokenizer
+    many at a time; the ids that end a word part them again. Other pieces go one by one, and so do those
+    that hold a special token. Nothing is kept between calls.
     The tokenizer's own threads stay off, unless set otherwise: tasks share the cores already, and
     each thread keeps an arena of memory in each worker.
     """
 
-    def __init__(self, path: str, end_id: int, most_bytes: int = 40_000_000):
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocabulary <= 60_000 else "<u4")
-        self.end = np.array([end_id], self.dtype).tobytes()
+        self.end = np.array([end_id], self.dtype)
         self.ends_word = np.zeros(self.vocabulary, dtype=bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.most_bytes, self.held, self.cores = most_bytes, 0, {}
-
-    def remember(self, into: dict, key: str, value: bytes) -> None:
-        """``held`` counts the bytes of both memories, some 250 for an entry besides its text and ids."""
-        into[key] = value
-        self.held += 250 + len(key) + len(value)
-
-    def __missing__(self, piece: str) -> bytes:
-        core = piece.rstrip(TAIL)
-        if core != piece and core and is_word(core[-1]):
-            value = self.core(core) + self.core(piece[len(core) :])
-        else:
-            value = self.core(piece)
-        self.remember(self, piece, value)
-        return value
-
-    def core(self, core: str) -> bytes:
-        key = core.lower() if is_word(core) else core
-        if key not in self.cores:
-            self.remember(self.cores, key, np.array(self.tokenizer.encode(key, add_special_tokens=False).ids, self.dtype).tobytes())
-        return self.cores[key]
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encodes the new words among ``pieces`` together."""
-        new = {c.lower() for c in (p.rstrip(TAIL) for p in pieces) if is_word(c)}.difference(self.cores) if pieces else ()
-        words = list(new)
-        joined = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        for i, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(e.ids, self.dtype)
-            cuts = (np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize
-            some, raw, at = words[500 * i : 500 * i + 500], ids.tobytes(), 0
-            if len(cuts) != len(some):  # left to the tokenizer, one by one
-                continue
-            for word, cut in zip(some, cuts.tolist(), strict=True):
-                self.remember(self.cores, word, raw[at:cut])
-                at = cut
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.held > self.most_bytes:
-            self.clear()
-            self.cores.clear()
-            self.held = 0
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*split).difference(self))
-        get = self.__getitem__
-        return [b"".join(map(get, pieces)) + self.end for pieces in split]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def apart(self, strings: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """Ids of each string alone: arrays of ids, and the number of ids of each string."""
+        found, sizes = [], []
+        for i in range(0, len(strings), 2000):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(strings[i : i + 2000], add_special_tokens=False)]
+            found.append(np.array([x for one in ids for x in one], self.dtype))
+            sizes += map(len, ids)
+        return found, sizes
+
+    def words(self, words: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """The same for words of Latin letters, 500 of them joined by blanks."""
+        found, sizes = [], []
+        groups = [words[i : i + 500] for i in range(0, len(words), 500)]
+        for i in range(0, len(groups), 20):
+            some = groups[i : i + 20]
+            for group, e in zip(some, self.tokenizer.encode_batch_fast([" ".join(g) for g in some], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, self.dtype)
+                cuts = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(cuts) == len(group):
+                    found.append(ids)
+                    sizes += np.diff(np.r_[0, cuts]).tolist()
+                else:
+                    more, own = self.apart(group)
+                    found += more
+                    sizes += own
+        return found, sizes
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pieces, one after the other, and the number of ids of each piece."""
+        stripped = pc.utf8_rtrim(pieces, TAIL)
+        parted = pc.match_substring_regex(stripped, LATIN + r"\z")
+        for token in self.special:
+            parted = pc.and_not(parted, pc.match_substring(pieces, token))
+        core = pc.if_else(parted, stripped, pieces)
+        tail = last_bytes(pieces, pc.subtract(pc.binary_length(pieces), pc.binary_length(core)).to_numpy()).dictionary_encode()
+        core = pc.if_else(pc.match_substring_regex(core, rf"\A{LATIN}+\z"), pc.utf8_lower(core), core).dictionary_encode()
+        is_word = pc.match_substring_regex(core.dictionary, rf"\A{LATIN}+\z").to_numpy(zero_copy_only=False)
+        place = np.empty(len(is_word), np.int64)
+        place[is_word], place[~is_word] = np.arange(is_word.sum()), np.arange(is_word.sum(), len(is_word))
+        found, sizes = self.words(core.dictionary.filter(pa.array(is_word)).to_pylist())
+        others, own = self.apart(core.dictionary.filter(pa.array(~is_word)).to_pylist() + tail.dictionary.to_pylist())
+        flat, sizes = np.concatenate([self.end[:0], *found, *others]), np.array(sizes + own, np.int64)
+        both = np.stack([place[core.indices.to_numpy()], len(place) + tail.indices.to_numpy()], axis=1).ravel()
+        flat, ends = gather(flat, sizes, both)
+        return flat, np.diff(np.r_[0, ends[1::2]])
+
+    def encode(self, texts) -> list[np.ndarray]:
+        """Ids of each text, with the end id."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        flat, lengths = self.pieces(coded.dictionary)
+        after = np.cumsum(pc.list_value_length(split).to_numpy())  # pieces up to the end of each text
+        chosen = np.insert(coded.indices.to_numpy(), after, len(lengths))
+        ids, ends = gather(np.r_[flat, self.end], np.r_[lengths, 1], chosen)
+        return np.split(ids, ends[after + np.arange(len(after))][:-1]) if len(after) else []
+
+
+def few_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``TEXT_BYTES`` of text (the second column)."""
+    run = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)) // TEXT_BYTES
+    cuts = np.flatnonzero(np.r_[True, run[1:] != run[:-1], True]) if len(run) else []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
 
 
 # ---- grammar -------------------------------------------------------------------------
@@ -248,14 +290,13 @@ def write_shards(
 
         encoder = Encoder(path, end_id)  # gone with the task
         part, start, ids, doc_ids, sizes, held = TaskContext.get().partitionId(), 0, [], [], [], 0
-        unit = encoder.dtype.itemsize
 
         def close():
-            tokens = np.frombuffer(b"".join(ids), encoder.dtype)
+            tokens = np.concatenate(ids)
             shard = compress(tokens, np.array(sizes, np.int64), encoder.vocabulary, rounds)
             row = {
                 "part": [part], "start_in_part": [start], "n_tokens": [len(tokens)], "doc_ids": [doc_ids], "doc_tokens": [sizes],
-                "doc_symbols": [shard.doc_symbols.tolist()], "width": [unit], "vocabulary": [encoder.vocabulary],
+                "doc_symbols": [shard.doc_symbols.tolist()], "width": [encoder.dtype.itemsize], "vocabulary": [encoder.vocabulary],
                 "rules": [shard.rules.astype(encoder.dtype).tobytes()], "lengths": [shard.lengths.astype("<u4").tobytes()],
                 "symbols": [shard.symbols.astype(encoder.dtype).tobytes()],
             }
@@ -263,12 +304,11 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
         for batch in batches:
-            rows = (batch.slice(i, 256) for i in range(0, batch.num_rows, 256))
-            pairs = (x for r in rows for x in zip(r.column(0).to_pylist(), encoder.encode(r.column(1).to_pylist()), strict=True))
+            pairs = (x for r in few_texts(batch) for x in zip(r.column(0).to_pylist(), encoder.encode(r.column(1)), strict=True))
             for key, coded in pairs:
                 ids.append(coded)
                 doc_ids.append(key)
-                sizes.append(len(ids[-1]) // unit)
+                sizes.append(len(coded))
                 held += sizes[-1]
                 if held >= shard_tokens:
                     yield close()

@@ -75,6 +75,28 @@ def test_tokens_equal_the_tokenizer(spark, awkward, docs):
         assert keys == sorted(keys)
 
 
+def test_each_word_is_encoded_once_for_many_texts():
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, real):
+            self.real, self.sent = real, []
+
+        def encode_batch_fast(self, strings, **kw):
+            self.sent += [w for x in strings for w in x.split(" ")]
+            return self.real.encode_batch_fast(strings, **kw)
+
+    rng, t = random.Random(8), Tokenizer.from_file(vocabulary())
+    atoms = ["<|endoftext|>", "<|", "|>", "abc", "ABC", "e\u0301", "Σ", "İ", "ſ", "'s", "don't", "12", "½", ".", "!!", "'", " ", "\n", "\t", "\xa0", "中文", "🎉", "ŉ", "≠", "\x00"]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    encoder = tokens.Encoder(vocabulary(), 2)
+    assert [x.tolist() for x in encoder.encode(texts)] == [[*t.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    words = sorted({"".join(rng.choice("abcdeé") for _ in range(6)) for _ in range(3000)})
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    got = encoder.encode([" ".join(rng.choice([w, w.upper(), w + ",", w + "!"]) for w in rng.sample(words, len(words))) for _ in range(5)])
+    assert sorted(encoder.tokenizer.sent) == sorted([*words, "", ",", "!"]) and len(got) == 5 and encoder.encode([]) == []
+
+
 def test_tokens_of_an_empty_table(empty):
     assert tokens.read_documents(tokens.write_shards(empty, vocabulary())).collect() == []
 
