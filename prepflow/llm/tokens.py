@@ -41,10 +41,10 @@ def gather(flat: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> tuple[n
     """The chosen ones of the runs that follow each other in ``flat``, and where each of them ends."""
     kind = np.int32 if len(chosen) * (int(lengths.max(initial=0)) + 1) < 1 << 31 else np.int64
     starts = (np.cumsum(lengths) - lengths).astype(kind)
-    sizes = lengths[chosen]
-    ends = np.cumsum(sizes)
+    sizes = lengths.astype(kind)[chosen]
+    ends = np.cumsum(sizes, dtype=kind)
     places = np.arange(ends[-1] if len(ends) else 0, dtype=kind)
-    places += np.repeat(starts[chosen] - (ends - sizes).astype(kind), sizes)
+    places += np.repeat(starts[chosen] - (ends - sizes), sizes)
     return flat[places], ends
 
 
@@ -130,10 +130,13 @@ class Encoder:
     def encode(self, texts) -> list[np.ndarray]:
         """Ids of each text, with the end id."""
         split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        after = np.cumsum(pc.list_value_length(split).to_numpy())  # pieces up to the end of each text
         coded = split.flatten().dictionary_encode()
+        del split
         flat, lengths = self.pieces(coded.dictionary)
-        after = np.cumsum(pc.list_value_length(split).to_numpy())  # pieces up to the end of each text
         chosen = np.insert(coded.indices.to_numpy(), after, len(lengths))
+        del coded
+        pa.default_memory_pool().release_unused()
         ids, ends = gather(np.r_[flat, self.end], np.r_[lengths, 1], chosen)
         return np.split(ids, ends[after + np.arange(len(after))][:-1]) if len(after) else []
 

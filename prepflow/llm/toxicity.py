@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,18 +41,29 @@ def features(token: str) -> list[int]:
 
 
 def encode(docs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, sentence, document of the sentence) arrays; a token counts once in a sentence."""
-    known: dict[str, list[int]] = {}
-    buckets, owner, doc_of = [], [], []
+    """(bucket, sentence, document of the sentence) arrays; a token counts once in a sentence.
+
+    Four bytes for each number, as a long text has millions of them.
+    """
+    known: dict[str, bytes] = {}
+    buckets, ends, doc_of = array("i"), array("q"), array("i")
     for d, text in enumerate(docs):
         for piece in SENTENCE.findall(text.lower()):
             for token in sorted(set(piece.split())):
                 if token not in known:
-                    known[token] = features(token)
-                buckets.extend(known[token])
-                owner.extend([len(doc_of)] * len(known[token]))
+                    known[token] = array("i", features(token)).tobytes()
+                buckets.frombytes(known[token])
+            ends.append(len(buckets))
             doc_of.append(d)
-    return np.array(buckets, dtype=np.int64), np.array(owner, dtype=np.int64), np.array(doc_of, dtype=np.int64)
+    sizes = np.diff(np.frombuffer(ends, np.int64), prepend=0)
+    return np.frombuffer(buckets, np.int32), np.repeat(np.arange(len(ends), dtype=np.int32), sizes), np.frombuffer(doc_of, np.int32)
+
+
+def added(into: np.ndarray, places: np.ndarray, values: Callable[[slice], np.ndarray], step: int = 1_000_000) -> np.ndarray:
+    """``into`` with the values added at their places, in their order, some at a time."""
+    for i in range(0, len(places), step):
+        np.add.at(into, places[i : i + step], values(slice(i, i + step)))
+    return into
 
 
 def fit_arrays(docs: list[str], labels: np.ndarray, rounds: int = 40, rate: float = 0.4, decay: float = 1e-5, toxic_weight: float = 1.0) -> Model:
@@ -68,12 +81,12 @@ def fit_arrays(docs: list[str], labels: np.ndarray, rounds: int = 40, rate: floa
     n, n_s = len(docs), len(doc_of)
     m, v = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for step in range(1, rounds + 1):
-        z = bias + np.bincount(owner, weights[buckets], n_s)
+        z = bias + added(np.zeros(n_s), owner, lambda some: weights[buckets[some]])  # noqa: B023
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         none = np.bincount(doc_of, np.logaddexp(0, np.clip(z, -30, 30)), n)  # -log P(no toxic sentence)
         any_p = np.clip(-np.expm1(-none), 1e-9, 1)
         slope = np.where(y > 0, -toxic_weight * (1 - any_p) / any_p, 1.0)[doc_of] * p / n
-        grad = np.bincount(buckets, slope[owner], BUCKETS) + decay * weights
+        grad = added(np.zeros(BUCKETS), buckets, lambda some: slope[owner[some]]) + decay * weights  # noqa: B023
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
