@@ -6,15 +6,18 @@ import numpy as np
 
 
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ordered by their next ``depth`` symbols (or more) by prefix doubling."""
+    """Positions ordered by their next ``depth`` symbols (or more) by prefix doubling.
+
+    Positions that agree in these stand in any order; that is enough to search patterns of up to ``depth`` symbols.
+    """
     n = len(t)
     rank = t.astype(np.int64)
-    order, length = np.argsort(rank, kind="stable"), 1
+    order, length = np.argsort(rank), 1
     while length < depth:
         after = np.zeros(n, np.int64)
         after[: n - length] = rank[length:] + 1
         key = rank * (int(after.max(initial=0)) + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         k = key[order]
         new = np.cumsum(np.r_[0, k[1:] != k[:-1]])
         rank[order] = new

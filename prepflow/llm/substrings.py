@@ -179,7 +179,7 @@ def match_shards(rows: DataFrame, window: int, shard_words: int) -> DataFrame:
 
         def close():
             words = [np.frombuffer(r[4], np.uint64) for r in held]
-            index = FMIndex(words, np.array([r[3] for r in held], np.int64), window)
+            index = FMIndex(words, np.array([r[3] for r in held], np.int64), max(map(len, words)))  # a match may be a whole segment
             seg, first, end = index.repeated_windows(window)
             own = [held[i] for i in seg.tolist()]
             off = np.array([r[2] for r in own], np.int64)
@@ -204,7 +204,10 @@ def match_shards(rows: DataFrame, window: int, shard_words: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, window: int, anchor: int, shard_words: int, hot: int) -> DataFrame:
-    """(rid, runs): for each text with repeated windows, (first, last) window starts. ``docs`` has rid and text."""
+    """(rid, runs): for each text with repeated windows, (first, last) window starts as first << 32 | last. ``docs`` has rid and text.
+
+    As numbers, runs that came more than once are told apart by a hash; structs would be compared pair by pair.
+    """
     found = settle(segments(docs, window, anchor), "segments")
     often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     often = settle(often, "shared-grams")  # a plain side, so that the join below can split a hot minimizer
@@ -215,7 +218,7 @@ def repeated_runs(docs: DataFrame, window: int, anchor: int, shard_words: int, h
     rows = shard_rows(docs, once.join(variants, "gram"), window, anchor, hot)
     runs = settle(match_shards(rows, window, shard_words), "matches")
     runs = runs.groupBy("gram", "seg").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    shift = F.expr("transform(runs, x -> named_struct('first', shiftright(place, 24) + x.first, 'last', shiftright(place, 24) + x.last))")
+    shift = F.expr("transform(runs, x -> shiftleft(shiftright(place, 24) + x.first, 32) | (shiftright(place, 24) + x.last))")
     placed = found.join(runs, ["gram", "seg"]).select("rid", shift.alias("runs"))
     return placed.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
 
@@ -248,9 +251,9 @@ def remove_repeats(
                 if digest is None:
                     words = text.encode().split()
                     gone = np.zeros(len(words) + 1, np.int64)
-                    for r in runs or ():
-                        gone[r["first"]] += 1
-                        gone[r["last"] + window] -= 1
+                    run = np.array(runs or (), np.int64)
+                    np.add.at(gone, run >> 32, 1)
+                    np.subtract.at(gone, (run & 0xFFFFFFFF) + window, 1)
                     gone = np.cumsum(gone)[:-1] > 0
                     edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
                     spans = [{"first": a, "after": b} for a, b in edge.reshape(-1, 2).tolist()]

@@ -505,6 +505,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert counts[1, 1] >= 0.6 * (counts[1, 1] + counts.get((1, 0), 0)) and counts.get((0, 1), 0) <= 0.05 * counts[0, 0]
 
 
+def test_toxicity_fit_holds_four_bytes_a_number():
+    texts = ["One two. One one three!", "", "four\nfive two"]
+    buckets, owner, doc_of = toxicity.encode(texts)
+    want = [toxicity.features(w) for x in ("one", "two", "one", "three", "four", "five", "two") for w in [x]]
+    assert buckets.tolist() == sum(want, []) and buckets.dtype == owner.dtype == np.int32
+    assert owner.tolist() == sum([[s] * len(b) for s, b in zip((0, 0, 1, 1, 2, 3, 3), want, strict=True)], []) and doc_of.tolist() == [0, 0, 2, 2]
+    values = np.random.default_rng(0).normal(size=len(buckets))
+    assert toxicity.added(np.zeros(4), owner, lambda some: values[some], step=3).tolist() == np.bincount(owner, values, 4).tolist()
+
+
+def test_equal_runs_of_repeated_rows_come_once(spark):
+    """Runs are numbers, so equal ones are found by hash, however many a text has."""
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(0, 1, text)] * 5 + [(0, 2, "x " + text)], "doc_id long, rid long, text string")
+    runs = {r.rid: r.runs for r in substrings.repeated_runs(df, 35, 8, 1_000_000, 4000).collect()}
+    for rid, last in ((1, 15), (2, 16)):
+        covered = {k for x in runs[rid] for k in range(x >> 32, (x & 0xFFFFFFFF) + 1)}
+        assert covered == set(range(last - 15, last + 1)) and len(runs[rid]) == len(set(runs[rid]))
+
+
 # ---- substrings --------------------------------------------------------------------
 
 
