@@ -210,6 +210,21 @@ def test_lists_of_equal_members_are_looked_at_once(spark):
     assert sorted(r.sig for r in set_join.block_counts(df, each=True).collect()) == [0, 1, 2, 3, 4, 9]
 
 
+def test_near_copies_meet_in_few_lists(spark, monkeypatch):
+    """Near copies share most of their signatures; each different list is looked at once, and its pairs aren't given for each signature."""
+    words = [[f"g{g}w{i}" for i in range(300)] for g in range(10)]
+    rows = [(20 * g + k, " ".join([*w[:297], f"x{k}", f"y{k}", f"z{k}"])) for g, w in enumerate(words) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held, real = [], set_join.short_lists
+    monkeypatch.setattr(set_join, "short_lists", lambda p, t: held.append((p.count(), real(p, t).where("sig IS NULL").count())) or real(p, t))
+    found = {r.doc_id: r.component_id for r in set_join.join_sets(df, n=5, threshold="0.8").collect()}
+    assert found == {i: i - i % 20 for i, _ in rows}
+    pairs = 10 * 15
+    assert held[0][0] <= 10 * 6 * 3 and pairs <= held[0][1] <= 2 * pairs
+    counted = set_join.join_sets(df, n=5, threshold="0.8", with_links=True)
+    assert {r.n_links for r in counted.collect()} == {5}
+
+
 def test_set_join_of_awkward_rows(awkward, empty):
     found = collections.Counter(map(tuple, set_join.join_sets(awkward, n=3, threshold="0.9").drop("rid").collect()))
     assert found == brute_classes([r[:2] for r in AWKWARD], 3, Fraction("0.9"))
