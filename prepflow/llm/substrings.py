@@ -15,13 +15,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, grams, mixed, settle, texts
+from .common import grams, mixed, settle, texts, word_hashes
 from .fm_index import FMIndex
 
 ANCHOR = 8  # words of a minimizer
+RUN_BYTES = 1_000_000  # of texts that are cut together
+BASE = 0x9FB21C651E98DF25  # odd, of the segments' hashes
 
 
 def leftmost_minima(values: np.ndarray, span: int) -> np.ndarray:
@@ -37,26 +40,42 @@ def leftmost_minima(values: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-def cut(ids: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimizer, first word, words) of each segment: the windows that share one minimizer, together."""
+def cut(ids: np.ndarray, begin: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimizer, text, first word, words) of each segment: the windows of a text that share one minimizer, together.
+
+    ``ids`` has the words of texts that follow each other, ``begin`` where each begins and, last, their number.
+    """
     none = np.zeros(0, np.int64)
     if len(ids) < window:
-        return none.astype(np.uint64), none, none
+        return none.astype(np.uint64), none, none, none
     values = grams(ids, anchor)
     at = leftmost_minima(values, window - anchor + 1)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    last = np.r_[first[1:], len(at)] - 1
-    return values[at[first]], first, last - first + window
+    new = np.ones(len(at) + 1, dtype=bool)
+    new[1:-1] = at[1:] != at[:-1]
+    long = np.diff(begin) >= window
+    new[begin[:-1][long]] = True
+    new[begin[1:][long] - window + 1] = True  # after the last window of a text
+    edges = np.flatnonzero(new)
+    first, last = edges[:-1], edges[1:] - 1
+    text = np.searchsorted(begin, first, "right") - 1
+    whole = first + window <= begin[text + 1]  # others reach into the next text
+    first, last, text = first[whole], last[whole], text[whole]
+    return values[at[first]], text, first, last - first + window
+
+
+def powers_of(base: int, n: int) -> np.ndarray:
+    """The first n powers of a number, modulo 2 ** 64."""
+    powers = np.full(n, base, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers, dtype=np.uint64)
 
 
 def segment_hashes(ids: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """A hash of the words of each segment, from running sums of the words times powers of an odd number."""
     with np.errstate(over="ignore"):
-        base = np.uint64(0x9FB21C651E98DF25)
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(len(ids), base, np.uint64)], dtype=np.uint64)
-        sums = np.r_[np.uint64(0), np.cumsum(mixed(ids) * powers[: len(ids)], dtype=np.uint64)]
-        back = np.uint64(pow(int(base), -1, 1 << 64))
-        inverse = np.cumprod(np.r_[np.uint64(1), np.full(len(ids), back, np.uint64)], dtype=np.uint64)
+        sums = np.zeros(len(ids) + 1, np.uint64)
+        np.cumsum(mixed(ids) * powers_of(BASE, len(ids)), out=sums[1:])
+        inverse = powers_of(pow(BASE, -1, 1 << 64), len(ids) + 1)
         return mixed((sums[first + length] - sums[first]) * inverse[first] + length.astype(np.uint64))
 
 
@@ -64,18 +83,20 @@ def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """(gram, seg, rid, place) for every segment; place holds the first word and the number of words."""
 
     def run(batches):
-        ids = WordIds()
         for batch in batches:
-            parts = []
-            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = ids(text.as_py().encode().split())
-                gram, first, length = cut(words, window, anchor)
+            bounds = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) + 1)
+            run = bounds // RUN_BYTES
+            edges = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1], [True]])) if len(run) else []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                words, starts = word_hashes("\n".join(batch.column(1).slice(a, b - a).to_pylist()).encode())
+                ends = np.searchsorted(starts, bounds[a:b] - (bounds[a - 1] if a else 0))
+                begin = np.concatenate([[0], ends])
+                gram, text, first, length = cut(words, begin, window, anchor)
                 if len(gram):
                     seg = segment_hashes(words, first, length)
-                    parts.append((gram.view(np.int64), seg.view(np.int64), np.full(len(gram), rid), first << 24 | length))
-            if parts:
-                arrays = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "seg", "rid", "place"])
+                    rid = batch.column(0).to_numpy()[a:b][text]
+                    columns = gram.view(np.int64), seg.view(np.int64), rid, (first - begin[text]) << 24 | length
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["gram", "seg", "rid", "place"])
 
     return docs.select("rid", "text").mapInArrow(run, "gram long, seg long, rid long, place long")
 
@@ -144,11 +165,10 @@ def shard_rows(docs: DataFrame, chosen: DataFrame, window: int, anchor: int, hot
     joined = filtered.join(listed, "rid").select("text", "segs")
 
     def run(batches):
-        ids = WordIds()
         for batch in batches:
             out = []
             for text, segs in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = ids(text.as_py().encode().split())
+                words, _ = word_hashes(text.as_py().encode())
                 for s in segs:
                     first, length = s["place"] >> 24, s["place"] & 0xFFFFFF
                     own = words[first : first + length]

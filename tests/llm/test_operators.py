@@ -17,6 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prepflow.llm import archives, decontaminate, fm_index, licenses, mixing, pii, quality, set_join, substrings, tokens, toxicity
+from prepflow.llm.common import word_hashes
 from prepflow.llm.queries import vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -530,6 +531,31 @@ def test_toxicity_fit_holds_four_bytes_a_number():
     assert toxicity.added(np.zeros(4), owner, lambda some: values[some], step=3).tolist() == np.bincount(owner, values, 4).tolist()
 
 
+def test_words_are_hashed_together():
+    """Each word has one hash wherever it stands; words that differ in length, in their end or in zero bytes have different ones."""
+    words = [b"a", b"a\0", b"\0", b"12345678", b"123456789", b"x" * 128, b"x" * 129, b"x" * 130, "\u00e9\u00a0".encode(), b"\x1c"]
+    alone = [int(word_hashes(w)[0][0]) for w in words]
+    together, starts = word_hashes(b" \t" + b"\x0b\r\n".join(words) + b"\x0c")
+    assert together.tolist() == alone and len(set(alone)) == len(words)
+    assert starts.tolist() == np.cumsum([2] + [len(w) + 3 for w in words[:-1]]).tolist()
+    assert [len(word_hashes(b)[0]) for b in (b"", b" ", b"a")] == [0, 0, 1]
+
+
+def test_texts_are_cut_together_as_alone():
+    """Windows never reach into the next text, and segments have the same places and hashes in any run of texts."""
+    rng = np.random.default_rng(5)
+    for sizes in ([0, 0], [5], [6, 0, 6, 5], [30, 2, 0, 40, 7]):
+        held = [rng.integers(0, 3, n).astype(np.uint64) for n in sizes]
+        begin, alone = np.concatenate([[0], np.cumsum(sizes)]), []
+        for k, ids in enumerate(held):
+            gram, _, first, length = substrings.cut(ids, np.array([0, len(ids)]), 6, 3)
+            alone += zip(gram, [k] * len(gram), first, length, substrings.segment_hashes(ids, first, length), strict=True)
+        ids = np.concatenate(held)
+        gram, text, first, length = substrings.cut(ids, begin, 6, 3)
+        assert list(zip(gram, text, first - begin[text], length, substrings.segment_hashes(ids, first, length), strict=True)) == alone
+        assert {x[1] for x in alone} == {k for k, n in enumerate(sizes) if n >= 6}
+
+
 def test_equal_runs_of_repeated_rows_come_once(spark):
     """Runs are numbers, so equal ones are found by hash, however many a text has."""
     text = " ".join(f"w{i}" for i in range(50))
