@@ -5,8 +5,11 @@ from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
+from __spark_entry__ import QUERIES, SMOKE_DIR
+from prepflow.catalog.preparation import LINE_KEY
 from prepflow.operators import clean, knn, metrics, models
 from prepflow.plans import modelling as flows
+from prepflow.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -229,3 +232,20 @@ def test_a_query_travels_once_to_a_group_of_cells(spark, monkeypatch):
     travels = visits.select(F.size([c for c in visits.columns if c in ("groups", "cells")][0]).alias("n")).agg(F.max("n")).first()[0]
     assert travels <= 3 * spark.sparkContext.defaultParallelism
     assert bag(near, "q", "id", "rank") == brute(rows, [(i, v) for i, v, _ in rows], 3, True)
+
+
+@pytest.mark.parametrize("name", ["score_regression"])
+def test_a_query_trains_on_pieces_of_bounded_size(spark, monkeypatch, name):
+    """A task of the forest reads one piece in each pass: its size mustn't follow the table."""
+    monkeypatch.setattr(models, "PIECE_ROWS", 200, raising=False)
+    pieces = []
+    plain = models.fit_model
+
+    def fit(prepared, *args):
+        pieces.extend(r["count"] for r in prepared.groupBy(F.spark_partition_id()).count().collect())
+        return plain(prepared, *args)
+
+    monkeypatch.setattr(flows, "fit_model", fit)
+    QUERIES[name](spark, SMOKE_DIR).first()
+    assert max(pieces) <= 2 * models.PIECE_ROWS
+    assert sum(pieces) == flows.split_rows(files.read_parquet(spark, SMOKE_DIR, "lineitem"), LINE_KEY, 0.8)[0].count()
