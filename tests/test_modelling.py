@@ -234,7 +234,7 @@ def test_a_query_travels_once_to_a_group_of_cells(spark, monkeypatch):
     assert bag(near, "q", "id", "rank") == brute(rows, [(i, v) for i, v, _ in rows], 3, True)
 
 
-@pytest.mark.parametrize("name", ["score_regression", "rf_classify", "test_single_output"])
+@pytest.mark.parametrize("name", ["score_regression", "rf_classify", "test_single_output", "score_classification"])
 def test_a_query_trains_on_pieces_of_bounded_size(spark, monkeypatch, name):
     """A task of the forest reads one piece in each pass: its size mustn't follow the table."""
     monkeypatch.setattr(models, "PIECE_ROWS", 200, raising=False)
