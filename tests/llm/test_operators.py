@@ -226,6 +226,76 @@ def test_near_copies_meet_in_few_lists(spark, monkeypatch):
     assert {r.n_links for r in counted.collect()} == {5}
 
 
+def test_sets_of_many_lists_meet_once(spark, monkeypatch):
+    """Copies share hundreds of lists with slightly different members; what they send to be compared follows the copies, not the lists."""
+    monkeypatch.setattr(set_join, "BLOCK", 20)
+    monkeypatch.setattr(set_join, "LIST", 3)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    data = [(i, " ".join(f"x{i}" if rng.random() < 0.01 * (i % 5) else w for w in words)) for i in range(60)]
+    sent = []
+    for name in ("block_links", "two_sided_links"):
+        if real := getattr(set_join, name, None):
+            monkeypatch.setattr(set_join, name, lambda hot, *a, real=real: sent.append(hot.count()) or real(hot, *a))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    found = set_join.join_sets(df, n=5, threshold="0.8").drop("rid")
+    assert collections.Counter(map(tuple, found.collect())) == brute_classes(data, 5, Fraction("0.8"))
+    assert 0 < sum(sent) <= 4 * len(data)
+
+
+@pytest.mark.parametrize("homes", [0, 16])
+def test_members_of_different_homes_meet(spark, monkeypatch, homes):
+    """Links that no home shows: home by home, and where a list has too many homes."""
+    monkeypatch.setattr(set_join, "BLOCK", 2)
+    monkeypatch.setattr(set_join, "HOMES", homes)
+    near, far = [set(range(k, k + 100)) for k in (0, 1000)]
+    sets = {1: near, 2: near | {200}, 3: near | {201}, 4: far, 5: far | {1200}, 6: far | {1201}, 7: set(range(2000, 2100)), 8: near | {202}}
+    lists = {10: [1, 2, 4, 7, 5], 11: [3, 2, 6, 4], 12: [8, 3], 13: [5, 6]}
+    members = spark.createDataFrame([(s, x, len(m)) for s, m in lists.items() for x in m], "sig long, node long, n long")
+    elements = spark.createDataFrame([(k, bytearray(np.array(sorted(v), np.uint64).tobytes())) for k, v in sets.items()], "node long, elements binary")
+    none = spark.createDataFrame([], "a long, b long")
+    found = {r.node: r.root for r in set_join.linked_lists(members, none, elements, Fraction("0.9")).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 8: 1, 4: 4, 5: 4, 6: 4}
+
+
+def test_postings_are_packed_and_come_back(spark):
+    rng = np.random.default_rng(4)
+    sigs = np.sort(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2) & set_join.SIG_BITS)
+    sizes, rows = rng.integers(0, 65536, (2, 20_000))
+    data = set_join.pack(sigs, sizes, rows)
+    assert len(data) < 8.1 * len(sigs)
+    assert all((x == y).all() for x, y in zip(set_join.unpack(data), (sigs, sizes, rows), strict=True))
+    one = set_join.unpack(set_join.pack(np.array([2**64 - 1], np.uint64), np.array([1]), np.array([0])))
+    assert [x.tolist() for x in one] == [[2**64 - 1], [1], [0]]
+    wide = [(-5, 1 << 40, 70_000), (-5, 7, 100_000), (-5, -(1 << 62), 50), (1, 7, 3)]
+    found = set_join.shared_postings(spark.createDataFrame(wide, "sig long, node long, n long"), Fraction("0.9"), 10**6)
+    assert sorted(map(tuple, found.collect())) == [(-5, 7), (-5, 1 << 40)]  # sizes are compared up to 65,535
+
+
+def test_texts_of_kept_rows_are_not_shuffled(spark):
+    import corpus_pipeline as cp
+
+    data = [(i, f"w{i} " * 5 + "a b c d e f g h i j k l m n o p q r s t u v") for i in range(30)] + [(i, f"only {i} here") for i in range(100, 140)]
+    kept = cp.drop_near_copies(spark, spark.createDataFrame(data, "doc_id long, text string"), FOLDER)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x] and kept.count() == len({r[0] for r in kept.collect()})
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import pathlib
+    import time
+
+    from prepflow.sources import scratch
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {str(x) for f in folders for x in pathlib.Path(f).rglob("shuffle_*")}
+    before = files()
+    spark.conf.unset(scratch._CLEANUP)
+    out = scratch.settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    time.sleep(1)
+    assert not files() - before and out.count() == 7 and spark.conf.get(scratch._CLEANUP, None) is None
+
+
 def test_set_join_of_awkward_rows(awkward, empty):
     found = collections.Counter(map(tuple, set_join.join_sets(awkward, n=3, threshold="0.9").drop("rid").collect()))
     assert found == brute_classes([r[:2] for r in AWKWARD], 3, Fraction("0.9"))
