@@ -249,3 +249,15 @@ def test_a_query_trains_on_pieces_of_bounded_size(spark, monkeypatch, name):
     QUERIES[name](spark, SMOKE_DIR).first()
     assert max(pieces) <= 2 * models.PIECE_ROWS
     assert sum(pieces) == flows.split_rows(files.read_parquet(spark, SMOKE_DIR, "lineitem"), LINE_KEY, 0.8)[0].count()
+
+
+def test_equal_rows_come_in_a_piece_for_each_core(spark, monkeypatch):
+    """Not in as many as a shuffle happens to have: boosting starts a task a piece some hundred times."""
+    rows = spark.range(2000).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 3).alias("c"))
+    counted = models.count_equal(rows, "c", (), "GBTC")
+    assert counted.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(models, "PIECE_ROWS", 3)
+    more = models.count_equal(rows, "c", (), "GBTC")
+    assert more.rdd.getNumPartitions() >= 6 and more.agg(F.sum("_weight")).first()[0] == 2000
+    made = models.estimator("GBTC", "c", "Scaled_features", {"weightCol": "_weight"}, 3)
+    assert made.getParallelism() == 3 and models.estimator("GBTC", "c", "Scaled_features", None, 3).getParallelism() == 1
